@@ -125,7 +125,7 @@ def one_hot(spark, sf_dir):
 )
 def assemble(spark, sf_dir):
     df = encoding.assemble(src.table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_linenumber"])
-    df = df.select("l_orderkey", "l_linenumber", F.posexplode(vector_to_array("features")).alias("position", "value"))
+    df = df.select("l_orderkey", "l_linenumber", F.posexplode_outer(vector_to_array("features")).alias("position", "value"))
     return df.withColumn("value", F.round("value", 6))
 
 
@@ -141,7 +141,7 @@ def feature_stages(spark, sf_dir):
     """Column sums of the vectors that the fitted stages give."""
     df = src.houses(spark, sf_dir)
     fitted = encoding.feature_stages(["linestatus", "returnflag"], ["quantity", "size"]).fit(df)
-    values = fitted.transform(df).select(F.posexplode(vector_to_array("features")).alias("position", "value"))
+    values = fitted.transform(df).select(F.posexplode_outer(vector_to_array("features")).alias("position", "value"))
     return values.groupBy("position").agg(F.round(F.sum("value"), 2).alias("total"))
 
 

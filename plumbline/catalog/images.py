@@ -14,7 +14,7 @@ from plumbline.sources import image_folders
 
 def by_position(df, height, value):
     """Column-major pixel arrays as rows per position."""
-    df = df.select("name", F.posexplode("pixels").alias("_at", value))
+    df = df.select("name", F.posexplode_outer("pixels").alias("_at", value))
     return df.select(
         F.regexp_extract("name", r"(\d+)", 1).cast("long").alias("vec_id"),
         F.expr(f"CAST(_at DIV {height} AS INT)").alias("x"),
@@ -120,7 +120,7 @@ def image_features(spark, sf_dir):
     folder = class_folders(spark, sf_dir)
     path = next(p for p, label in folder.items() if label == 1)
     pixels = plans.image_features(spark, path, 1, width=30, height=20)
-    spots = pixels.select("label", F.posexplode("pixels").alias("_at", "gray"))
+    spots = pixels.select("label", F.posexplode_outer("pixels").alias("_at", "gray"))
     return (
         spots.groupBy("label", F.expr("CAST(_at DIV 20 AS INT)").alias("x"), (F.col("_at") % 20).alias("y"))
         .agg(F.count("*").alias("images"), F.sum("gray").alias("gray"))

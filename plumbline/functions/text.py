@@ -8,7 +8,7 @@ from pyspark.ml.feature import NGram, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.columns import first_element, lowercase_column
+from plumbline.operators.columns import lowercase_column
 
 # Words that carry no meaning in indicator names.
 INDICATOR_STOP_WORDS = [
@@ -45,8 +45,15 @@ def leading_ngram(
     words: Sequence[str] = INDICATOR_STOP_WORDS,
     out: str = "leading_ngram",
 ) -> DataFrame:
-    """The first n-gram of the kept words, null for texts with fewer than ``n`` of them."""
-    df = tokenize(lowercase_column(df, col), col, "_tokens")
-    df = remove_stop_words(df, "_tokens", words, "_kept")
-    df = ngrams(df, "_kept", n, "_ngrams")
-    return first_element(df, "_ngrams", out).drop("_tokens", "_kept", "_ngrams")
+    """The first n-gram of the kept words, null for texts with fewer than ``n`` of them.
+
+    Gives the first element of ``ngrams(remove_stop_words(tokenize(...)))``,
+    without building the n-grams behind it.  The text is lower-cased in place.
+    """
+    df = lowercase_column(df, col)
+    # Like the tokenizer: inner blanks give empty tokens, trailing ones do not.
+    tokens = F.split(F.regexp_replace(col, r"\s+$", ""), r"\s")
+    kept = F.filter(tokens, lambda t: ~t.isin([w.lower() for w in words]))
+    return df.withColumn("_first", F.slice(kept, 1, n)).select(
+        *df.columns, F.when(F.size("_first") == n, F.array_join("_first", " ")).alias(out)
+    )

@@ -56,23 +56,43 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """The same statistics as rows ``(column, stat, value)`` for numeric columns."""
+    """The same statistics as rows ``(column, stat, value)`` for numeric columns.
+
+    The values are put below each other before the aggregation, which keeps its
+    buffer small, and so within generated code, for tables of any width.
+    """
     cols = list(cols or numeric_columns(df))
+    values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols]
     stats = {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max}
-    wide = df.agg(
-        *[fn(c).cast("double").alias(f"{i}_{stat}") for i, c in enumerate(cols) for stat, fn in stats.items()]
+    wide = (
+        df.select(F.inline_outer(F.array(*values)))
+        .groupBy("column")
+        .agg(*[fn("_v").cast("double").alias(stat) for stat, fn in stats.items()])
     )
-    rows = [
-        F.struct(F.lit(c).alias("column"), F.lit(stat).alias("stat"), F.col(f"{i}_{stat}").alias("value"))
-        for i, c in enumerate(cols)
-        for stat in stats
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    rows = [F.struct(F.lit(stat).alias("stat"), F.col(stat).alias("value")) for stat in stats]
+    return wide.select("column", F.inline(F.array(*rows)))
 
 
-def _as_number(col: str, null_as_zero: bool) -> Column:
-    number = F.col(col).cast("double")
-    return F.coalesce(number, F.lit(0.0)) if null_as_zero else number
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], null_as_zero: bool) -> DataFrame:
+    """``(column, other, correlation)`` of the given pairs from one pass over the rows.
+
+    One aggregate per pair in a single row of buffers is too wide for generated
+    code; one short row per pair is not, and is combined before the shuffle.
+    """
+
+    def number(col: str) -> Column:
+        value = F.col(col).cast("double")
+        return F.coalesce(value, F.lit(0.0)) if null_as_zero else value
+
+    rows = [
+        F.struct(F.lit(i).alias("_pair"), number(a).alias("_x"), number(b).alias("_y"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    found = (
+        df.select(F.inline_outer(F.array(*rows))).groupBy("_pair").agg(F.corr("_x", "_y").alias("correlation"))
+    )
+    name = lambda side: F.get(F.array(*[F.lit(p[side]) for p in pairs]), F.col("_pair"))
+    return found.select(name(0).alias("column"), name(1).alias("other"), "correlation")
 
 
 def label_correlations(
@@ -82,30 +102,23 @@ def label_correlations(
 
     A pair with a null in it is left out; ``null_as_zero`` counts the null as 0.
     """
-    cols = list(cols or numeric_columns(df))
-    y = _as_number(label, null_as_zero)
-    wide = df.agg(*[F.corr(_as_number(c, null_as_zero), y).alias(str(i)) for i, c in enumerate(cols)])
-    rows = [F.struct(F.lit(c).alias("column"), F.col(str(i)).alias("correlation")) for i, c in enumerate(cols)]
-    return wide.select(F.inline(F.array(*rows)))
+    pairs = [(c, label) for c in (cols or numeric_columns(df))]
+    return _pair_correlations(df, pairs, null_as_zero).select("column", "correlation")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, null_as_zero: bool = False) -> DataFrame:
     """Correlation of every pair of columns as rows ``(column, other, correlation)``.
 
-    One pass computes each unordered pair once.
+    Each unordered pair is computed once and given both ways round.
     """
     cols = list(cols or numeric_columns(df))
-    number = {c: _as_number(c, null_as_zero) for c in cols}
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    wide = df.agg(*[F.corr(number[cols[i]], number[cols[j]]).alias(f"{i}_{j}") for i, j in pairs])
-    rows = [
-        F.struct(
-            F.lit(a).alias("column"), F.lit(b).alias("other"), F.col(f"{min(i, j)}_{max(i, j)}").alias("correlation")
-        )
-        for i, a in enumerate(cols)
-        for j, b in enumerate(cols)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    half = _pair_correlations(df, pairs, null_as_zero)
+    way = lambda a, b: F.struct(F.col(a).alias("column"), F.col(b).alias("other"), "correlation")
+    both = F.when(F.col("column") == F.col("other"), F.array(way("column", "other"))).otherwise(
+        F.array(way("column", "other"), way("other", "column"))
+    )
+    return half.select(F.inline(both))
 
 
 def low_correlation_columns(

@@ -112,7 +112,7 @@ def encode_and_pin(df: DataFrame, label: str, cat_cols: Sequence[str], num_cols:
     else:
         vectors = []
     features = assemble(df, [*vectors, *num_cols])
-    return pin(features.select(TRAINING, F.col(label).cast("double").alias("label"), "features"), "features")
+    return pin(features.select(TRAINING, F.col(label).cast("double").alias("label"), "features"), "features", balance=True)
 
 
 def screen_features(
@@ -178,7 +178,7 @@ def segment_by_kmeans(
     """Clusters of numeric columns for several ``k``, with sizes, SSE and silhouette."""
     if ratio:
         df = ratio_column(df, *ratio)
-    frame = pin(assemble(df, num_cols).select("features"), "points")
+    frame = pin(assemble(df, num_cols).select("features"), "points", balance=True)
     return kmeans_sweep(frame, ks, seed=seed)
 
 
@@ -203,7 +203,7 @@ def activity_forecast(
     df = null_to_zero(filter_expr(df, condition), zero_filled)
     df = df.withColumnRenamed(f"{label}_cleaned", "label").drop(*zero_filled)
     inputs = [f"{c}_cleaned" if c in zero_filled else c for c in num_cols]
-    frame = pin(mark_training(df, key, pct).select(TRAINING, "label", *cat_cols, *inputs), "activity")
+    frame = pin(mark_training(df, key, pct).select(TRAINING, "label", *cat_cols, *inputs), "activity", balance=True)
     est = LinearRegression()
     search = tuner(est, param_grid(est, *grid), ratio=train_ratio, seed=seed)
     fitted = feature_stages(cat_cols, inputs, search).fit(frame.where(TRAINING))
@@ -278,7 +278,7 @@ def trial_conversion(
     index = f"{category}_index"
     indexer = string_indexer(df.where(TRAINING), [category], [index], invalid="keep")
     frame = assemble(indexer.transform(df), [index, *num_cols])
-    frame = pin(frame.select(TRAINING, F.col("label").cast("double").alias("label"), "features"), "trials")
+    frame = pin(frame.select(TRAINING, F.col("label").cast("double").alias("label"), "features"), "trials", balance=True)
     estimators = {
         "decision_tree": DecisionTreeClassifier(maxDepth=max_depth, seed=seed),
         "random_forest": RandomForestClassifier(maxDepth=max_depth, seed=seed),

@@ -49,15 +49,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, name: str = "pin") -> DataFrame:
+def pin(df: DataFrame, name: str = "pin", balance: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder once and return a scan of it.
 
     Model fits read their input dozens of times.  A pinned table is computed
     once, is pruned and pushed down to like any Parquet source, and gives the
-    same rows after an executor is lost.
+    same rows after an executor is lost.  ``balance`` evens out the files with
+    one shuffle, so that no task of the later passes is longer than the others.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if balance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

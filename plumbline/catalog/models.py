@@ -19,7 +19,7 @@ from plumbline.operators.columns import threshold_label
 from plumbline.operators.splits import key_holdout
 from plumbline.operators.topk import explode_recommendations
 from plumbline.plans.images import classify_image_batch as classify
-from plumbline.session import pin
+from plumbline.session import balance, pin
 from plumbline.sources.pixel_lines import labeled_points
 
 
@@ -31,14 +31,14 @@ def lines(spark, sf_dir):
 
 def trial_points(spark, sf_dir, cols=("access_count", "amount")):
     df = threshold_label(src.trials(spark, sf_dir), "payments_made", ">=", 1)
-    df = assemble(df, cols).select("c_custkey", F.col("label").cast("double").alias("label"), "features")
-    return pin(df, "trial-points", balance=True)
+    df = assemble(balance(df), cols).select("c_custkey", F.col("label").cast("double").alias("label"), "features")
+    return pin(df, "trial-points")
 
 
 def two_class_points(spark, sf_dir):
     """Vectors as points whose label says whether their class is 5 or above."""
     pixels = src.pixel_rows(spark, sf_dir).withColumn("label", (F.col("label") >= 5).cast("int"))
-    return pin(labeled_points(pixels), "two-class", balance=True)
+    return pin(labeled_points(balance(pixels)), "two-class")
 
 
 @query(
@@ -165,8 +165,8 @@ def fit_linear_svm(spark, sf_dir):
 
 
 def cluster_points(spark, sf_dir):
-    df = src.houses(spark, sf_dir)
-    return pin(assemble(df, ["quantity", "size", "retail"]).select("features"), "cluster-points", balance=True)
+    df = balance(src.houses(spark, sf_dir).select("quantity", "size", "retail"))
+    return pin(assemble(df, ["quantity", "size", "retail"]).select("features"), "cluster-points")
 
 
 @query("M8")
@@ -191,7 +191,7 @@ def cluster_centers(spark, sf_dir):
     flag = F.col("l_returnflag")
     spot = F.when(flag == "A", 0.0).when(flag == "N", 5.0).otherwise(20.0)
     df = src.table(spark, sf_dir, "lineitem").select(spot.alias("spot"))
-    points = pin(assemble(df, ["spot"]).select("features"), "spots", balance=True)
+    points = pin(assemble(balance(df), ["spot"]).select("features"), "spots")
     model = clustering.fit_kmeans(points, 3, initSteps=8)
     cost = clustering.clustering_sse(points, model)
     sizes = model.transform(points).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("rows"))
@@ -247,7 +247,7 @@ SELECT CAST(point AS INTEGER) AS point, CAST(reg AS DOUBLE) AS reg, CAST(enp AS
 def param_grid(spark, sf_dir):
     """Every grid point fitted on one feature, where the elastic net has a closed form."""
     df = src.trials(spark, sf_dir).select((F.col("amount") / 1000000).alias("millions"), F.col("access_count").alias("label"))
-    points = pin(assemble(df, ["millions"]).select("features", "label"), "grid-points", balance=True)
+    points = pin(assemble(balance(df), ["millions"]).select("features", "label"), "grid-points")
     est = LinearRegression(tol=1e-10, maxIter=200)
     grid = tuning.param_grid(est, *tuning.PRICE_GRID)
     wide = tuning.grid_table(spark, grid).groupBy("point").pivot("param", ["regParam", "elasticNetParam"]).agg(F.first("value"))
@@ -259,8 +259,8 @@ def param_grid(spark, sf_dir):
 
 
 def tuned_lines(spark, sf_dir):
-    df = src.houses(spark, sf_dir)
-    points = pin(assemble(df, ["quantity", "retail", "size"]).select("features", F.col("price").alias("label")), "tune-points", balance=True)
+    df = balance(src.houses(spark, sf_dir).select("price", "quantity", "retail", "size"))
+    points = pin(assemble(df, ["quantity", "retail", "size"]).select("features", F.col("price").alias("label")), "tune-points")
     est = LinearRegression()
     return points, tuning.tune(points, est, tuning.param_grid(est, *tuning.PRICE_GRID))
 

@@ -15,7 +15,7 @@ from plumbline.models.estimators import fit_forest_regression
 from plumbline.models.metrics import accuracy
 from plumbline.models.tuning import compare_models
 from plumbline.operators.splits import stratified_holdout
-from plumbline.session import pin
+from plumbline.session import balance, pin
 from plumbline.sources.image_folders import drop_undecodable_images, label_image_folders, read_images
 from plumbline.sources.pixel_lines import labeled_points, write_pixel_lines
 
@@ -50,7 +50,7 @@ def image_model_compare(
     train_pixels: DataFrame, test_pixels: DataFrame, iterations: int = 100
 ) -> tuple[dict[str, Model], DataFrame]:
     """Naive Bayes and a linear SVM on two-class pixel rows: models and accuracies."""
-    train = pin(labeled_points(train_pixels), "train-points", balance=True)
+    train = pin(labeled_points(balance(train_pixels)), "train-points")
     estimators = {
         "naive_bayes": NaiveBayes(smoothing=1.0),
         "linear_svm": LinearSVC(maxIter=iterations, regParam=0.01, fitIntercept=False, standardization=False),
@@ -87,6 +87,6 @@ def image_forest(
     images = label_image_folders(spark, folders).withColumn("_origin", F.col("image.origin"))
     train, test = stratified_holdout(images, "label", {label: pct for label in folders.values()}, "_origin")
     pixels = lambda part: labeled_points(image_pixels(part, None, width, height))
-    training = pin(pixels(train), "forest-points", balance=True)
+    training = pin(balance(pixels(train)), "forest-points")
     model = fit_forest_regression(training, **params)
     return ForestReport(model, model.transform(pixels(test)), training)

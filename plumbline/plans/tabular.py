@@ -52,7 +52,7 @@ from plumbline.operators.columns import (
     threshold_label,
 )
 from plumbline.operators.splits import holdout_bucket
-from plumbline.session import pin
+from plumbline.session import balance, pin
 from plumbline.sources.tables import write_csv_table
 
 TRAINING = "is_training"
@@ -104,15 +104,18 @@ def encode_and_pin(df: DataFrame, label: str, cat_cols: Sequence[str], num_cols:
 
     Categories are counted on the training rows alone; others score as unknown.
     """
+    df = df.select(TRAINING, F.col(label).cast("double").alias("label"), *cat_cols, *num_cols)
+    training = df.where(TRAINING)
+    df = balance(df)
     if cat_cols:
         indexes = [f"{c}_index" for c in cat_cols]
         vectors = [f"{c}_vector" for c in cat_cols]
-        indexer = string_indexer(df.where(TRAINING), cat_cols, indexes, invalid="keep")
+        indexer = string_indexer(training, cat_cols, indexes, invalid="keep")
         df = one_hot(indexer.transform(df), indexes, vectors)
     else:
         vectors = []
     features = assemble(df, [*vectors, *num_cols])
-    return pin(features.select(TRAINING, F.col(label).cast("double").alias("label"), "features"), "features", balance=True)
+    return pin(features.select(TRAINING, "label", "features"), "features")
 
 
 def screen_features(
@@ -178,7 +181,7 @@ def segment_by_kmeans(
     """Clusters of numeric columns for several ``k``, with sizes, SSE and silhouette."""
     if ratio:
         df = ratio_column(df, *ratio)
-    frame = pin(assemble(df, num_cols).select("features"), "points", balance=True)
+    frame = pin(assemble(balance(df.select(*num_cols)), num_cols).select("features"), "points")
     return kmeans_sweep(frame, ks, seed=seed)
 
 
@@ -203,7 +206,7 @@ def activity_forecast(
     df = null_to_zero(filter_expr(df, condition), zero_filled)
     df = df.withColumnRenamed(f"{label}_cleaned", "label").drop(*zero_filled)
     inputs = [f"{c}_cleaned" if c in zero_filled else c for c in num_cols]
-    frame = pin(mark_training(df, key, pct).select(TRAINING, "label", *cat_cols, *inputs), "activity", balance=True)
+    frame = pin(balance(mark_training(df, key, pct).select(TRAINING, "label", *cat_cols, *inputs)), "activity")
     est = LinearRegression()
     search = tuner(est, param_grid(est, *grid), ratio=train_ratio, seed=seed)
     fitted = feature_stages(cat_cols, inputs, search).fit(frame.where(TRAINING))
@@ -274,11 +277,11 @@ def trial_conversion(
 ) -> TreeReport:
     """Who pays after a trial: a tree and a forest compared on the same hold-out."""
     df = threshold_label(group_category(df, category, groups, keep), paid, ">=", 1)
-    df = mark_training(df, key, pct)
+    df = mark_training(df, key, pct).select(TRAINING, F.col("label").cast("double").alias("label"), category, *num_cols)
     index = f"{category}_index"
     indexer = string_indexer(df.where(TRAINING), [category], [index], invalid="keep")
-    frame = assemble(indexer.transform(df), [index, *num_cols])
-    frame = pin(frame.select(TRAINING, F.col("label").cast("double").alias("label"), "features"), "trials", balance=True)
+    frame = assemble(indexer.transform(balance(df)), [index, *num_cols])
+    frame = pin(frame.select(TRAINING, "label", "features"), "trials")
     estimators = {
         "decision_tree": DecisionTreeClassifier(maxDepth=max_depth, seed=seed),
         "random_forest": RandomForestClassifier(maxDepth=max_depth, seed=seed),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "plumbline", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution on; extra settings use ``_`` for ``.``."""
+    """A session with adaptive execution on; ``conf`` holds further Spark settings."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
@@ -21,8 +21,11 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Small files: let every core have a part of them.
+            builder = builder.config("spark.sql.files.openCostInBytes", "256k")
     for key, value in conf.items():
-        builder = builder.config(key.replace("_", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
@@ -49,21 +52,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, name: str = "pin", balance: bool = False) -> DataFrame:
+def balance(df: DataFrame) -> DataFrame:
+    """Even out the partitions with one shuffle, sized by adaptive execution.
+
+    For inputs of iterative fits: skew left by a filter or join would otherwise
+    slow down every pass.  Balance plain columns before they are encoded, as
+    vectors are wider to shuffle.
+    """
+    return df.hint("rebalance")
+
+
+def pin(df: DataFrame, name: str = "pin") -> DataFrame:
     """Write ``df`` to the shared folder once and return a scan of it.
 
     Model fits read their input dozens of times.  A pinned table is computed
     once, is pruned and pushed down to like any Parquet source, and gives the
-    same rows after an executor is lost.  ``balance`` evens out the files with
-    one shuffle, so that no task of the later passes is longer than the others.
+    same rows after an executor is lost.
     """
     path = scratch_path(df.sparkSession, name)
-    (df.hint("rebalance") if balance else df).write.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release_pins(spark: SparkSession) -> bool:
-    """Delete every table this application pinned; frames over them stop working."""
+    """Delete every table this application pinned, as its last step: frames over them stop working."""
     target = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_folder(spark)}/plumbline")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.delete(target, True)

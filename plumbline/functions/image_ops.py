@@ -8,6 +8,7 @@ depends on another, so the work splits over any number of tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,7 @@ GREEN_WEIGHT = 0.72
 BLUE_WEIGHT = 0.07
 
 IMAGE_FIELDS = ("origin", "height", "width", "nChannels", "mode", "data")
+IMAGES_PER_PIECE = 64
 # Number of channels -> OpenCV type code of Spark's image struct.
 MODES = {1: 0, 3: 16, 4: 24}
 
@@ -50,6 +52,18 @@ def _gray(pixels: np.ndarray) -> np.ndarray:
     return cut(red, RED_WEIGHT) + cut(green, GREEN_WEIGHT) + cut(blue, BLUE_WEIGHT)
 
 
+def _each_image(batches: Iterator[tuple], result) -> Iterator[pd.Series]:
+    """``result(pixels)`` of every image, in pieces of bounded size.
+
+    Spark limits a batch by its input bytes, and many small images in one batch
+    can stretch to far more.
+    """
+    for batch in batches:
+        images = zip(*batch)
+        while piece := [result(_pixels(*row)) for row in islice(images, IMAGES_PER_PIECE)]:
+            yield pd.Series(piece)
+
+
 def _image_args(image: str) -> list[Column]:
     return [F.col(f"{image}.{name}") for name in ("data", "height", "width", "nChannels")]
 
@@ -66,8 +80,7 @@ def gray_images(df: DataFrame, image: str = "image") -> DataFrame:
 
     @F.pandas_udf(T.BinaryType())
     def gray(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([_gray(_pixels(*row)).tobytes() for row in zip(*batch)])
+        return _each_image(batches, lambda pixels: _gray(pixels).tobytes())
 
     struct = _image_struct(
         image, gray(*_image_args(image)), F.col(f"{image}.height"), F.col(f"{image}.width"), F.lit(1), F.lit(MODES[1])
@@ -82,8 +95,7 @@ def resize_images(
 
     @F.pandas_udf(T.BinaryType())
     def stretch(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([_stretch(_pixels(*row), width, height).tobytes() for row in zip(*batch)])
+        return _each_image(batches, lambda pixels: _stretch(pixels, width, height).tobytes())
 
     struct = _image_struct(
         image,
@@ -101,8 +113,7 @@ def pixel_vectors(df: DataFrame, label: int | None = None, image: str = "image")
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def flatten(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([_pixels(*row)[:, :, 0].T.ravel().astype(np.int32) for row in zip(*batch)])
+        return _each_image(batches, lambda pixels: pixels[:, :, 0].T.ravel().astype(np.int32))
 
     return _named(df, label, image).select("name", "label", flatten(*_image_args(image)).alias("pixels"))
 
@@ -118,10 +129,7 @@ def image_pixels(
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def features(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(
-                [_gray(_stretch(_pixels(*row), width, height)).T.ravel().astype(np.int32) for row in zip(*batch)]
-            )
+        return _each_image(batches, lambda pixels: _gray(_stretch(pixels, width, height)).T.ravel().astype(np.int32))
 
     return _named(df, label, image).select("name", "label", features(*_image_args(image)).alias("pixels"))
 

@@ -53,10 +53,14 @@ def kmeans_sweep(
     ks: Sequence[int] = range(4, 10),
     features: str = "features",
     seed: int = SEED,
-    parallelism: int = 3,
+    parallelism: int = 2,
     **params,
 ) -> KMeansSweep:
-    """Fit k-means for each ``k`` over one stable frame (a scan or a pinned table)."""
+    """Fit k-means for each ``k`` over one stable frame (a scan or a pinned table).
+
+    Every running fit caches its own copy of the points, so raise
+    ``parallelism`` only for small data.
+    """
     spark = df.sparkSession
     ks = list(ks)
 

@@ -37,13 +37,12 @@ def interaction_matrix(
     Give ``values`` when the items are known, it saves a job.  For more items
     than a table can have columns use ``interaction_totals``.
     """
-    totals = interaction_totals(df, user, item, value)
     if values is None:
         found = df.select(item).where(F.col(item).isNotNull()).distinct().limit(PIVOT_COLUMNS + 1).collect()
         if len(found) > PIVOT_COLUMNS:
             raise ValueError(f"more than {PIVOT_COLUMNS} items: use interaction_totals")
         values = sorted(row[0] for row in found)
-    return totals.groupBy(user).pivot(item, list(values)).agg(F.first(value, ignorenulls=True))
+    return df.groupBy(user).pivot(item, list(values)).sum(value)
 
 
 def describe_table(df: DataFrame) -> DataFrame:

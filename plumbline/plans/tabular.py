@@ -246,7 +246,9 @@ def lapse_classifier(
     frame = encode_and_pin(mark_training(df, key, pct), "label", cat_cols, inputs)
     est = LogisticRegression()
     evaluator = evaluator or MulticlassClassificationEvaluator(metricName="accuracy")
-    tuned = tune(frame.where(TRAINING), est, param_grid(est, *grid), evaluator, ratio=train_ratio, seed=seed)
+    # Each logistic fit caches its blocks of rows, hence fewer at once than for the one-pass regression.
+    search = dict(ratio=train_ratio, seed=seed, parallelism=2)
+    tuned = tune(frame.where(TRAINING), est, param_grid(est, *grid), evaluator, **search)
     predictions = tuned.bestModel.transform(frame)
     holdout = predictions.where(~F.col(TRAINING))
     return TunedReport(

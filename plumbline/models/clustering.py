@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.models.estimators import SEED
 from plumbline.models.metrics import silhouette_score
-from plumbline.session import run_together
+from plumbline.session import fits_at_once, run_together
 
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = SEED, **params) -> KMeansModel:
@@ -53,13 +53,12 @@ def kmeans_sweep(
     ks: Sequence[int] = range(4, 10),
     features: str = "features",
     seed: int = SEED,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     **params,
 ) -> KMeansSweep:
     """Fit k-means for each ``k`` over one stable frame (a scan or a pinned table).
 
-    Every running fit caches its own copy of the points, so raise
-    ``parallelism`` only for small data.
+    Several fits run at once while the data is small, see ``fits_at_once``.
     """
     spark = df.sparkSession
     ks = list(ks)
@@ -69,7 +68,7 @@ def kmeans_sweep(
         score = silhouette_score(model.transform(df), features) if len(model.clusterCenters()) > 1 else None
         return model, score
 
-    fitted = dict(zip(ks, run_together(spark, one, ks, parallelism)))
+    fitted = dict(zip(ks, run_together(spark, one, ks, parallelism or fits_at_once(df))))
     models = {k: model for k, (model, _) in fitted.items()}
     scores = [
         (k, len(model.clusterCenters()), float(model.summary.trainingCost), score)

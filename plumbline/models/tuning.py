@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.models.estimators import SEED
 from plumbline.models.metrics import accuracy
-from plumbline.session import run_together
+from plumbline.session import fits_at_once, run_together
 
 # Penalty strength and elastic-net mix of each tuned job.
 PRICE_GRID = ([0.01, 0.1, 0.5], [0.1, 0.5, 1.0])
@@ -50,12 +50,20 @@ def tuner(
     )
 
 
-def tune(df: DataFrame, est: Estimator, grid: Sequence, evaluator: Evaluator | None = None, **options):
+def tune(
+    df: DataFrame,
+    est: Estimator,
+    grid: Sequence,
+    evaluator: Evaluator | None = None,
+    ratio: float = 0.75,
+    seed: int = SEED,
+    parallelism: int | None = None,
+) -> TrainValidationSplitModel:
     """Score every grid point on one validation part and refit the best on all rows.
 
     ``df`` should be a scan or a pinned frame: it is read for every grid point.
     """
-    return tuner(est, grid, evaluator, **options).fit(df)
+    return tuner(est, grid, evaluator, ratio, seed, parallelism or fits_at_once(df)).fit(df)
 
 
 def validation_scores(df: DataFrame, tuned: TrainValidationSplitModel) -> DataFrame:

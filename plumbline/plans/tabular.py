@@ -52,7 +52,7 @@ from plumbline.operators.columns import (
     threshold_label,
 )
 from plumbline.operators.splits import holdout_bucket
-from plumbline.session import balance, pin
+from plumbline.session import balance, fits_at_once, pin
 from plumbline.sources.tables import write_csv_table
 
 TRAINING = "is_training"
@@ -208,7 +208,7 @@ def activity_forecast(
     inputs = [f"{c}_cleaned" if c in zero_filled else c for c in num_cols]
     frame = pin(balance(mark_training(df, key, pct).select(TRAINING, "label", *cat_cols, *inputs)), "activity")
     est = LinearRegression()
-    search = tuner(est, param_grid(est, *grid), ratio=train_ratio, seed=seed)
+    search = tuner(est, param_grid(est, *grid), ratio=train_ratio, seed=seed, parallelism=fits_at_once(frame))
     fitted = feature_stages(cat_cols, inputs, search).fit(frame.where(TRAINING))
     predictions = fitted.transform(frame)
     tuned = fitted.stages[-1]
@@ -246,9 +246,7 @@ def lapse_classifier(
     frame = encode_and_pin(mark_training(df, key, pct), "label", cat_cols, inputs)
     est = LogisticRegression()
     evaluator = evaluator or MulticlassClassificationEvaluator(metricName="accuracy")
-    # Each logistic fit caches its blocks of rows, hence fewer at once than for the one-pass regression.
-    search = dict(ratio=train_ratio, seed=seed, parallelism=2)
-    tuned = tune(frame.where(TRAINING), est, param_grid(est, *grid), evaluator, **search)
+    tuned = tune(frame.where(TRAINING), est, param_grid(est, *grid), evaluator, ratio=train_ratio, seed=seed)
     predictions = tuned.bestModel.transform(frame)
     holdout = predictions.where(~F.col(TRAINING))
     return TunedReport(

@@ -81,6 +81,17 @@ def release_pins(spark: SparkSession) -> bool:
     return fs.delete(target, True)
 
 
+def fits_at_once(scan: DataFrame) -> int:
+    """How many fits over a pinned table to run side by side.
+
+    Each fit may cache its rows.  While the table has no more partitions than
+    there are cores, one fit cannot fill the cluster and several fit in memory;
+    a table of many rounds of tasks is fitted one model at a time.
+    """
+    rounds = scan.rdd.getNumPartitions() / scan.sparkSession.sparkContext.defaultParallelism
+    return 6 if rounds <= 1 else 2 if rounds <= 8 else 1
+
+
 def run_together(spark: SparkSession, task: Callable, items: Iterable, parallelism: int = 4) -> list:
     """Run ``task(item)`` for several items at once, as independent Spark jobs."""
     items = list(items)

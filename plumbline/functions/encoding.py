@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.joins import lookup_join
-from plumbline.operators.topk import index_order_rank
+from plumbline.operators.topk import rank_counts
+from plumbline.session import pin
 
 # Label lists up to this length visit the driver; longer ones stay a distributed table.
 LABEL_LIMIT = 100_000
 
 
-def _frequent_labels(df: DataFrame, cols: Sequence[str], limit: int) -> dict[str, list[str] | None]:
-    """Labels per column in index order, or None for a column with more than ``limit``.
+def _frequent_labels(
+    df: DataFrame, cols: Sequence[str], limit: int
+) -> tuple[dict[str, list[str] | None], dict[str, DataFrame]]:
+    """Labels per column in index order, None for a column with more than ``limit``; and the counts per column.
 
-    All columns are counted in one pass, combined before the shuffle, and at
-    most ``limit + 1`` labels of a column are fetched.
+    All columns are counted in one pass, combined before the shuffle, and the
+    number of labels fetched is limited.
     """
     pairs = F.array(
         *[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)]
@@ -31,17 +34,19 @@ def _frequent_labels(df: DataFrame, cols: Sequence[str], limit: int) -> dict[str
         .groupBy("at", "value")
         .agg(F.count("*").alias("n"))
     )
-    fetched = counts.limit(limit * len(cols) + 1).collect()
-    complete = len(fetched) <= limit * len(cols)
+    most = limit * len(cols)
+    fetched = counts.limit(most + 1).collect()
+    complete = len(fetched) <= most
+    if not complete:
+        counts = pin(counts, "labels")
     labels: dict[str, list[str] | None] = {}
+    per_column: dict[str, DataFrame] = {}
     for i, c in enumerate(cols):
-        rows = [r for r in fetched if r["at"] == i]
-        if not complete:
-            # Some column is too long: look at each by itself, still bounded.
-            rows = counts.where(F.col("at") == i).limit(limit + 1).collect()
+        per_column[c] = counts.where(F.col("at") == i).select("value", "n")
+        rows = [r for r in fetched if r["at"] == i] if complete else per_column[c].limit(limit + 1).collect()
         ordered = sorted(rows, key=lambda r: (-r["n"], r["value"]))
         labels[c] = [r["value"] for r in ordered] if len(rows) <= limit else None
-    return labels
+    return labels, per_column
 
 
 def _indexer(labels: list[str], col: str, out: str, invalid: str) -> StringIndexerModel:
@@ -52,16 +57,16 @@ def string_indexer(
     df: DataFrame, cols: Sequence[str], outs: Sequence[str], invalid: str = "error", limit: int = LABEL_LIMIT
 ) -> PipelineModel:
     """Fitted indexer for columns with at most ``limit`` labels; most frequent label is 0."""
-    labels = _frequent_labels(df, cols, limit)
+    labels, _ = _frequent_labels(df, cols, limit)
     too_many = [c for c, found in labels.items() if found is None]
     if too_many:
         raise ValueError(f"more than {limit} labels in {too_many}: such a column cannot be a model feature")
     return PipelineModel([_indexer(labels[c], c, o, invalid) for c, o in zip(cols, outs)])
 
 
-def _index_by_rank(df: DataFrame, col: str, out: str, invalid: str) -> DataFrame:
+def _index_by_rank(df: DataFrame, counts: DataFrame, col: str, out: str, invalid: str) -> DataFrame:
     """The same indexes for any number of labels, by a join with the rank table."""
-    ranks = index_order_rank(df, col)
+    ranks = rank_counts(counts)
     size = ranks.count()
     table = ranks.select(F.col("value").alias("_value"), (F.col("rank") - 1).cast("double").alias(out))
     keyed = df.withColumn("_value", F.col(col).cast("string"))
@@ -83,10 +88,10 @@ def index_strings(
     them as one further index.  Columns with a short label list get the ML
     metadata tree models use; longer ones are indexed by a join.
     """
-    labels = _frequent_labels(df, cols, limit)
+    labels, counts = _frequent_labels(df, cols, limit)
     for c, o in zip(cols, outs):
         if labels[c] is None:
-            df = _index_by_rank(df, c, o, invalid)
+            df = _index_by_rank(df, counts[c], c, o, invalid)
         else:
             df = _indexer(labels[c], c, o, invalid).transform(df)
     return df

@@ -15,29 +15,20 @@ def preview(df: DataFrame, n: int = 20, order_by: list | None = None) -> DataFra
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def index_order_rank(df: DataFrame, col: str) -> DataFrame:
-    """Values by falling frequency, then by text: ``(value, n, rank)`` from rank 1.
+def rank_counts(counts: DataFrame) -> DataFrame:
+    """``(value, n)`` ordered by falling ``n``, then by value: ``(value, n, rank)`` from rank 1.
 
     Any number of values: they are range-sorted over all tasks, and a rank is
     the place in the task plus the size of the tasks before it, of which only
     the per-task sizes visit the driver.
     """
-    spark = df.sparkSession
-    counts = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(F.col(col).cast("string").alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
     # The upper 31 bits of the id number the task, the lower 33 the row in it.
-    ordered = pin(
-        counts.orderBy(F.desc("n"), F.asc("value"))
-        .withColumn("_id", F.monotonically_increasing_id())
-        .select("value", "n", F.shiftright("_id", 33).alias("_task"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_row")),
-        "rank",
-    )
+    numbered = counts.orderBy(F.desc("n"), F.asc("value")).withColumn("_id", F.monotonically_increasing_id())
+    task, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    ordered = pin(numbered.select("value", "n", task.alias("_task"), row.alias("_row")), "rank")
     sizes = sorted((r["_task"], r["size"]) for r in ordered.groupBy("_task").agg(F.count("*").alias("size")).collect())
     before = [0, *accumulate(size for _, size in sizes)]
-    offsets = spark.createDataFrame(
+    offsets = counts.sparkSession.createDataFrame(
         [(task, start) for (task, _), start in zip(sizes, before)], "_task long, _start long"
     )
     return ordered.join(F.broadcast(offsets), "_task").select(
@@ -45,6 +36,12 @@ def index_order_rank(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+def index_order_rank(df: DataFrame, col: str) -> DataFrame:
+    """Values of a column as text, by frequency: the order behind category indexes."""
+    values = df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("value"))
+    return rank_counts(values.groupBy("value").agg(F.count("*").alias("n")))
+
+
 def explode_recommendations(recs: DataFrame, key: str, recommendations: str = "recommendations") -> DataFrame:
     """Recommendation arrays as rows ``(key, rank, <fields of the array>)`` from rank 1."""
     return recs.select(key, F.posexplode(recommendations).alias("_pos", "_rec")).select(

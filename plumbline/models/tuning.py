@@ -103,5 +103,9 @@ def compare_models(
         kept = scored.columns
         scored = model.transform(scored).withColumnRenamed("prediction", f"_p_{name}").select(*kept, f"_p_{name}")
     picks = [F.struct(F.lit(name).alias("model"), F.col(f"_p_{name}").alias("prediction")) for name in models]
-    # All models score in the same scan of the test rows.
-    return models, accuracy(scored.select("label", F.inline(F.array(*picks))), by=["model"])
+    # All models score in the same scan of the test rows; without any rows the accuracy is null.
+    scores = accuracy(scored.select("label", F.inline(F.array(*picks))), by=["model"])
+    names = train.sparkSession.createDataFrame([(name,) for name in models], "model string")
+    return models, names.join(scores, "model", "left").select(
+        "model", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "accuracy"
+    )

@@ -207,3 +207,12 @@ def test_naive_bayes_weights_sum_to_one(spark):
     model = estimators.fit_naive_bayes(df)
     total = estimators.naive_bayes_weights(df, model).groupBy("label").agg(F.sum(F.exp("theta")).alias("t")).collect()
     assert all(r["t"] == pytest.approx(1.0) for r in total)
+
+
+def test_comparison_on_no_rows(spark, blobs):
+    df = blobs.withColumn("label", F.lit(1.0)).limit(20).unionAll(blobs.withColumn("label", F.lit(0.0)).limit(20))
+    _, scores = tuning.compare_models({"logistic": LogisticRegression(maxIter=2)}, df, df.where("label = 7"))
+    assert [tuple(r) for r in scores.collect()] == [("logistic", 0, None)]
+    model = estimators.fit_logistic_regression(df, maxIter=2)
+    _, fitted = tuning.compare_models({"ready": model}, df, df)
+    assert fitted.first()["n"] == 40

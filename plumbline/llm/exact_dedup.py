@@ -81,7 +81,8 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits
     )
     tested = possibly_repeated(keys, "__sha", pin(marked_bits(keys, "__sha", bits), "exact-bits"), bits)
     maybe = tested.where("__maybe")
-    groups = maybe.groupBy("__sha").agg(_best().alias("__best"), F.count(F.lit(1)).alias("__size"))
+    # Written, so that the join has an exchange of its own, whose hot groups adaptive execution can split.
+    groups = pin(maybe.groupBy("__sha").agg(_best().alias("__best"), F.count(F.lit(1)).alias("__size")), "exact-groups")
     grouped = maybe.join(groups.withColumnRenamed("__sha", "__group"), F.col("__sha") == F.col("__group"))
     kept = F.col("__id").eqNullSafe(F.col("__best.id"))
     together = grouped.select("__id", F.col("__best.id").alias("keep_id"), F.col("__size").alias("group_size"), kept.alias("kept"), "__sha")

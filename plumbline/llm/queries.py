@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat_format, exact_dedup
+from plumbline.llm import chat_format, exact_dedup, packing, token_counts, token_files
 from plumbline.llm.common import table
-from plumbline.session import pin
+from plumbline.session import pin, scratch_path
 
 
 @dataclass(frozen=True)
@@ -19,6 +19,24 @@ class LlmQuery:
     sql: str | None = None
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer file is installed; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), out)
+    return token_files.read_token_files(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.length_histogram(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return token_counts.with_suffix_sums(counted)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
@@ -33,6 +51,11 @@ FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.sql(
         """SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')
@@ -70,6 +93,9 @@ FROM e GROUP BY conv_id
 """
 
 QUERIES: dict[str, LlmQuery] = {
+    "op4_token_files": LlmQuery(op4_token_files),
+    "op7_token_counts": LlmQuery(op7_token_counts),
     "op8_exact_dedup": LlmQuery(op8_exact_dedup, OP8_SQL),
+    "op9_best_fit_packing": LlmQuery(op9_best_fit_packing),
     "op10_chat_formatting": LlmQuery(op10_chat_formatting, OP10_SQL),
 }

@@ -41,10 +41,10 @@ def _bit(digest: Column, which: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(digest, F.lit(which)), F.lit(bits))
 
 
-def marked_bits(digests: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFrame:
-    """Pass one: the bits that two or more rows set, as 64-bit words ``(word, marks)``."""
+def marked_bits(digests: DataFrame, column: str, bits: int = FILTER_BITS, least: int = 2) -> DataFrame:
+    """Pass one: the bits that ``least`` or more rows set, as 64-bit words ``(word, marks)``."""
     slots = digests.select(F.explode(F.array(_bit(F.col(column), 0, bits), _bit(F.col(column), 1, bits))).alias("slot"))
-    twice = slots.groupBy("slot").count().where("count > 1")
+    twice = slots.groupBy("slot").count().where(F.col("count") >= least)
     mark = F.expr("shiftleft(1L, cast(slot & 63 AS int))")
     return twice.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(mark).alias("marks"))
 

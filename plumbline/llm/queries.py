@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat_format, exact_dedup, packing, token_counts, token_files
-from plumbline.llm.common import table
+from plumbline.llm import bpe_lexicon, chat_format, exact_dedup, fingerprints, packing, simhash, substring_dedup, token_counts, token_files, toxicity
+from plumbline.llm.common import id_and_text, table
 from plumbline.session import pin, scratch_path
 
 
@@ -26,12 +26,47 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")
+    lexicon = bpe_lexicon.build_lexicon(id_and_text(docs), path)
+    decoded = bpe_lexicon.decode(bpe_lexicon.encode(docs, path, lexicon), path)
+    decimals = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimals.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), out)
     return token_files.read_token_files(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256)
+    return cleaned.select(F.col("id").alias("doc_id"), "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.length_histogram(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
     return token_counts.with_suffix_sums(counted)
@@ -93,7 +128,12 @@ FROM e GROUP BY conv_id
 """
 
 QUERIES: dict[str, LlmQuery] = {
+    "op1_simhash_dedup": LlmQuery(op1_simhash_dedup),
+    "op2_bpe_lexicon": LlmQuery(op2_bpe_lexicon),
+    "op3_toxicity": LlmQuery(op3_toxicity),
     "op4_token_files": LlmQuery(op4_token_files),
+    "op5_substring_dedup": LlmQuery(op5_substring_dedup),
+    "op6_document_fingerprints": LlmQuery(op6_document_fingerprints),
     "op7_token_counts": LlmQuery(op7_token_counts),
     "op8_exact_dedup": LlmQuery(op8_exact_dedup, OP8_SQL),
     "op9_best_fit_packing": LlmQuery(op9_best_fit_packing),

@@ -44,12 +44,13 @@ def paragraph_digests(text: Column) -> Column:
 
 def sketch_text(digests: Column) -> Column:
     """The sketch of fixed size: count and exclusive or of each of three tables' cells, in hexadecimal."""
-    cells = []
-    for t in range(3):
-        for c in range(FIXED):
-            own = F.filter(digests, lambda d, t=t, c=c: F.pmod(F.shiftright(d, 20 * t), F.lit(FIXED)) == c)
-            cells += [F.lpad(F.hex(F.size(own)), 8, "0"), F.lpad(F.hex(F.aggregate(own, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(d))), 16, "0")]
-    return F.lower(F.concat(*cells))
+
+    def cell(t: int, c: int) -> list[Column]:
+        own = F.filter(digests, lambda d: F.pmod(F.shiftright(d, 20 * t), F.lit(FIXED)) == c)
+        mixed = F.aggregate(own, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(d))
+        return [F.lpad(F.hex(F.size(own)), 8, "0"), F.lpad(F.hex(mixed), 16, "0")]
+
+    return F.lower(F.concat(*[x for t in range(3) for c in range(FIXED) for x in cell(t, c)]))
 
 
 def _next_texts(rows: DataFrame) -> DataFrame:

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import id_and_text
 from plumbline.llm.tokens import lengths
+from plumbline.session import pin
 
-BLOCK = 1024  # lengths whose sums run in one window
+BLOCK = 64  # lengths whose sums run in one window
 
 
 def length_histogram(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -29,7 +30,8 @@ def length_histogram(docs: DataFrame, path: str, text_col: str = "text", id_col:
 def with_suffix_sums(histogram: DataFrame) -> DataFrame:
     """The histogram with, for each length: ``docs_from`` and ``tokens_from`` (of this length or longer), ``docs_upto`` and
     ``tokens_upto`` (of this length or shorter) and ``truncated_total`` (tokens left when each document is cut to this length)."""
-    rows = histogram.select("n_tokens", "docs", (F.col("n_tokens") * F.col("docs")).alias("tokens"), F.floor(F.col("n_tokens") / BLOCK).alias("block"))
+    # Written, as it is read twice and small against the texts it counts.
+    rows = pin(histogram, "length-histogram").select("n_tokens", "docs", (F.col("n_tokens") * F.col("docs")).alias("tokens"), F.floor(F.col("n_tokens") / BLOCK).alias("block"))
     blocks = rows.groupBy("block").agg(F.sum("docs").alias("block_docs"), F.sum("tokens").alias("block_tokens"))
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

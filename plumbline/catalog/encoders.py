@@ -78,9 +78,9 @@ def index_strings(spark, sf_dir):
         FROM lineitem JOIN p ON value = CAST(l_partkey AS VARCHAR)""",
 )
 def index_many_strings(spark, sf_dir):
-    """The way for label lists too long for the driver: a join with the distributed rank table."""
+    """A column with as many values as there are parts: a join with the distributed rank table."""
     df = src.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    indexed = encoding.index_strings(df, ["l_partkey"], ["part_index"], limit=100)
+    indexed = encoding.index_strings(df, ["l_partkey"], ["part_index"])
     return indexed.select("l_orderkey", "l_linenumber", "part_index")
 
 

@@ -96,7 +96,7 @@ def class_folders(spark, sf_dir):
 
 @query(
     "I4 P9 U1 U4",
-    f"""SELECT DISTINCT image_id, label, ((image_id % 100) * 7919 + 17) % 100 < 90 AS is_training FROM ({src.IMAGE_FILES_SQL})""",
+    f"""SELECT DISTINCT image_id, label, {src.bucket_sql('image_id')} < 90 AS is_training FROM ({src.IMAGE_FILES_SQL})""",
 )
 def label_image_folders(spark, sf_dir):
     images = image_folders.label_image_folders(spark, class_folders(spark, sf_dir))
@@ -129,5 +129,5 @@ def image_features(spark, sf_dir):
 
 @query("C13 I4 I3 M5")
 def image_forest(spark, sf_dir):
-    report = plans.image_forest(spark, class_folders(spark, sf_dir), pct=70, width=16, height=16, numTrees=10, maxDepth=3)
+    report = plans.image_forest(spark, class_folders(spark, sf_dir), pct=70)
     return report.predictions.select("label", F.round("prediction", 6).alias("prediction"))

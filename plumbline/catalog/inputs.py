@@ -72,6 +72,12 @@ def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bucket_sql(*keys: str) -> str:
+    """The hold-out bucket of one or more key columns."""
+    text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'null')" for k in keys)
+    return f"CAST('0x' || left(md5({text}), 8) AS BIGINT) % 100"
+
+
 TRIALS_SQL = """
 SELECT c_custkey, n_name AS country, coalesce(payments_made, 0) AS payments_made,
        coalesce(access_count, 0) AS access_count, coalesce(amount, 0) AS amount
@@ -84,15 +90,21 @@ JOIN nation ON n_nationkey = c_nationkey
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer with this and next month's orders, null where there are none."""
+    """One row per customer with orders of its first half-year, of a month, of all time before, and of the next month.
+
+    The next month is the last full one of the data; null stands for none.
+    """
+    orders = table(spark, sf_dir, "orders")
+    month = F.trunc(F.col("o_orderdate").cast("date"), "month")
+    first, last = orders.agg(F.min(month), F.max(month)).first()
+    start = lambda day, months: F.add_months(F.lit(day), months).cast("timestamp_ntz")
     date = F.col("o_orderdate")
-    in_month = lambda first, after: (date >= F.lit(first).cast("timestamp_ntz")) & (date < F.lit(after).cast("timestamp_ntz"))
     count_if = lambda cond: F.sum(F.when(cond, 1))
-    per_customer = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        count_if(in_month("1995-01-01", "1995-07-01")).alias("firstSub"),
-        count_if(in_month("1998-05-01", "1998-06-01")).alias("last_month_views"),
-        count_if(in_month("1995-01-01", "1998-06-01")).alias("all_time_views"),
-        count_if(in_month("1998-06-01", "1998-07-01")).alias("next_month_views"),
+    per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        count_if(date < start(first, 6)).alias("firstSub"),
+        count_if((date >= start(last, -2)) & (date < start(last, -1))).alias("last_month_views"),
+        count_if(date < start(last, -1)).alias("all_time_views"),
+        count_if((date >= start(last, -1)) & (date < start(last, 0))).alias("next_month_views"),
     )
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
     joined = table(spark, sf_dir, "customer").join(per_customer, "c_custkey", "left").join(nation, "c_nationkey")
@@ -117,11 +129,12 @@ SELECT c_custkey, c_mktsegment AS payment_method_type, n_name AS country, c_nati
        CAST(next_month_views AS BIGINT) AS next_month_views, c_acctbal < 1000 AS is_cancelled
 FROM customer
 LEFT JOIN (SELECT o_custkey,
-                  sum(CASE WHEN o_orderdate >= '1995-01-01' AND o_orderdate < '1995-07-01' THEN 1 END) AS firstSub,
-                  sum(CASE WHEN o_orderdate >= '1998-05-01' AND o_orderdate < '1998-06-01' THEN 1 END) AS last_month_views,
-                  sum(CASE WHEN o_orderdate >= '1995-01-01' AND o_orderdate < '1998-06-01' THEN 1 END) AS all_time_views,
-                  sum(CASE WHEN o_orderdate >= '1998-06-01' AND o_orderdate < '1998-07-01' THEN 1 END) AS next_month_views
-           FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey
+                  sum(CASE WHEN o_orderdate < first_month + INTERVAL 6 MONTH THEN 1 END) AS firstSub,
+                  sum(CASE WHEN o_orderdate >= last_month - INTERVAL 2 MONTH AND o_orderdate < last_month - INTERVAL 1 MONTH THEN 1 END) AS last_month_views,
+                  sum(CASE WHEN o_orderdate < last_month - INTERVAL 1 MONTH THEN 1 END) AS all_time_views,
+                  sum(CASE WHEN o_orderdate >= last_month - INTERVAL 1 MONTH AND o_orderdate < last_month THEN 1 END) AS next_month_views
+           FROM orders, (SELECT date_trunc('month', min(o_orderdate)) AS first_month, date_trunc('month', max(o_orderdate)) AS last_month FROM orders)
+           GROUP BY o_custkey) ON o_custkey = c_custkey
 JOIN nation ON n_nationkey = c_nationkey
 """
 

@@ -15,23 +15,28 @@ from plumbline.plans import images, recommenders, tabular
 from plumbline.session import pin
 from plumbline.sources.pixel_lines import labeled_points
 
-SCREENED = ["price", "quantity", "size", "retail"]
+SCREENED = ["price", "quantity", "discount", "tax", "size", "retail"]
+
+
+PAIRS_SQL = union_sql(
+    [
+        f"SELECT '{a}' AS \"column\", '{b}' AS other, corr({a}, {b}) AS correlation FROM t"
+        for a in SCREENED
+        for b in SCREENED
+    ],
+    src.HOUSES_SQL,
+)
+STRONG_SQL = "(SELECT \"column\" FROM p WHERE other = 'price' AND abs(correlation) >= 0.1)"
 
 
 @query(
-    "C1",
-    union_sql(
-        [
-            f"SELECT '{a}' AS \"column\", '{b}' AS other, round(corr({a}, {b}), 6) AS correlation FROM t"
-            for a in SCREENED
-            for b in SCREENED
-        ],
-        src.HOUSES_SQL,
-    ),
+    "C1 A8",
+    f"""WITH p AS (SELECT * FROM ({PAIRS_SQL})) SELECT "column", other, round(correlation, 6) AS correlation FROM p
+        WHERE "column" IN {STRONG_SQL} AND other IN {STRONG_SQL}""",
 )
 def screen_features(spark, sf_dir):
     ids = ["l_orderkey", "l_linenumber", "returnflag", "linestatus", "brand"]
-    screening = tabular.screen_features(src.houses(spark, sf_dir), "price", drop=ids, weak=["discount", "tax"])
+    screening = tabular.screen_features(src.houses(spark, sf_dir), "price", drop=ids)
     return screening.matrix.withColumn("correlation", F.round("correlation", 6))
 
 
@@ -114,7 +119,6 @@ def name_clustering(spark, sf_dir):
         "numerator",
         ["subgroup", "unit", "numerator"],
         {"unit": "number"},
-        k=20,
     )
     return report.predictions
 
@@ -122,7 +126,7 @@ def name_clustering(spark, sf_dir):
 @query("C11")
 def image_model_compare(spark, sf_dir):
     pixels = src.pixel_rows(spark, sf_dir).withColumn("label", (F.col("label") >= 5).cast("int"))
-    return images.image_model_compare(pixels.where(src.is_training()), pixels.where(~src.is_training()), 20)[1]
+    return images.image_model_compare(pixels.where(src.is_training()), pixels.where(~src.is_training()))[1]
 
 
 GRAY_PIXELS_SQL = f"SELECT vec_id, label, list({GRAY_SQL} ORDER BY x, y) AS pixels FROM ({src.VECTOR_IMAGES_SQL}) GROUP BY vec_id, label"

@@ -160,7 +160,7 @@ def classify_image_batch(spark, sf_dir):
 @query("M7")
 def fit_linear_svm(spark, sf_dir):
     points = two_class_points(spark, sf_dir)
-    model = estimators.fit_linear_svm(points.where(src.is_training()), iterations=20)
+    model = estimators.fit_linear_svm(points.where(src.is_training()))
     return model.transform(points.where(~src.is_training())).select("name", "label", "prediction")
 
 
@@ -177,7 +177,7 @@ def fit_kmeans(spark, sf_dir):
 
 @query("M9 A2 V8 V9")
 def kmeans_sweep(spark, sf_dir):
-    scores = clustering.kmeans_sweep(cluster_points(spark, sf_dir), range(4, 7)).scores
+    scores = clustering.kmeans_sweep(cluster_points(spark, sf_dir)).scores
     return scores.select("k", "clusters", F.round("sse", 2).alias("sse"), F.round("silhouette", 6).alias("silhouette"))
 
 
@@ -230,7 +230,7 @@ def top_users_per_item(spark, sf_dir):
 @query("M13 M3")
 def tree_rules(spark, sf_dir):
     points = trial_points(spark, sf_dir)
-    return estimators.tree_rules(points, estimators.fit_decision_tree(points, max_depth=3))
+    return estimators.tree_rules(points, estimators.fit_decision_tree(points))
 
 
 # Elastic net over one feature: soft threshold, then shrinkage, on the standardised scale.

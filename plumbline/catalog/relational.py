@@ -460,9 +460,34 @@ def random_holdout(spark, sf_dir):
     return splits.union_all(training, holdout)
 
 
+@query("U2", "SELECT count(*) AS n, true AS share_is_near, true AS apart FROM orders")
+def random_holdout_shares(spark, sf_dir):
+    """Whether the training share lies within five standard deviations of 0.8, and no key is in both parts."""
+    orders = src.table(spark, sf_dir, "orders").select("o_orderkey")
+    training, holdout = splits.random_holdout(orders, (0.8, 0.2), seed=7)
+    both = splits.union_all(columns.constant_column(training, "part", 1), columns.constant_column(holdout, "part", 0))
+    keys = both.groupBy("o_orderkey").agg(F.countDistinct("part").alias("parts"), F.count("*").alias("n"), F.sum("part").alias("in_training"))
+    near = F.abs(F.sum("in_training") - 0.8 * F.sum("n")) <= 5 * F.sqrt(0.16 * F.sum("n"))
+    return keys.agg(F.sum("n").alias("n"), near.alias("share_is_near"), (F.max("parts") == 1).alias("apart"))
+
+
+@query(
+    "U3",
+    f"""WITH k AS (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey * 100 END AS key FROM orders),
+        b AS (SELECT key, {src.bucket_sql('key')} < 80 AS is_training FROM k)
+        SELECT is_training, count(*) AS n, count(*) - count(key) AS without_key FROM b GROUP BY is_training""",
+)
+def holdout_with_null_keys(spark, sf_dir):
+    """A third of the keys are null and the others are a hundred apart: every row is in one part."""
+    key = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderkey") * 100).alias("key")
+    training, holdout = splits.key_holdout(src.table(spark, sf_dir, "orders").select(key), "key", 80)
+    both = splits.union_all(columns.constant_column(training, "is_training", True), columns.constant_column(holdout, "is_training", False))
+    return both.groupBy("is_training").agg(F.count("*").alias("n"), (F.count("*") - F.count("key")).alias("without_key"))
+
+
 @query(
     "U3",
-    """SELECT o_orderkey, ((o_orderkey % 100) * 7919 + 17) % 100 < 80 AS is_training FROM orders""",
+    f"SELECT o_orderkey, {src.bucket_sql('o_orderkey')} < 80 AS is_training FROM orders",
 )
 def key_holdout(spark, sf_dir):
     training, holdout = splits.key_holdout(src.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 80)
@@ -473,7 +498,7 @@ def key_holdout(spark, sf_dir):
 
 @query(
     "U4",
-    """SELECT vec_id, label, ((vec_id % 100) * 7919 + 17) % 100 < (CASE WHEN label < 5 THEN 90 ELSE 60 END) AS is_training
+    f"""SELECT vec_id, label, {src.bucket_sql('vec_id')} < (CASE WHEN label < 5 THEN 90 ELSE 60 END) AS is_training
        FROM embeddings""",
 )
 def stratified_holdout(spark, sf_dir):
@@ -497,10 +522,10 @@ def preview(spark, sf_dir):
 @query(
     "L4",
     f"""SELECT vec_id, CAST(i AS INTEGER) AS rank, pixels[i] AS itemId FROM
-        (SELECT vec_id, pixels, unnest(range(1, 6)) AS i FROM ({src.PIXELS_SQL}))""",
+        (SELECT vec_id, pixels, unnest(range(1, {src.VECTOR_WIDTH + 1})) AS i FROM ({src.PIXELS_SQL}))""",
 )
 def explode_recommendations(spark, sf_dir):
-    items = F.transform(F.slice(src.scaled(), 1, 5), lambda p: F.struct(p.alias("itemId")))
+    items = F.transform(src.scaled(), lambda p: F.struct(p.alias("itemId")))
     recs = src.table(spark, sf_dir, "embeddings").select("vec_id", items.alias("recommendations"))
     return topk.explode_recommendations(recs, "vec_id")
 

@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 # The country codes kept as they are, and the codes grouped as EUROPE.
 KEPT_COUNTRIES = ["GB", "US", "IN", "UNKNOWN"]
-EUROPE_CODES = (
-    "BE BG CZ DK DE EE IE EL ES FR HR IT CY LV LT LU HU MT NL AT PL PT RO SI SK FI SE CH IS NO LI EU"
-).split()
+EUROPE_CODES = [
+    "BE", "BG", "CZ", "DK", "DE", "EE", "IE", "EL", "ES", "FR", "HR", "IT", "CY", "LV", "LT", "LU",
+    "HU", "MT", "NL", "AT", "PL", "PT", "RO", "SI", "SK", "FI", "SE", "CH", "IS", "NO", "LI", "EU",
+]
 COUNTRY_GROUPS = {"EUROPE": EUROPE_CODES}
 OTHER = "OTHER"
 

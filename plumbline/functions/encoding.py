@@ -4,97 +4,85 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.ml import Estimator, Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.joins import lookup_join
 from plumbline.operators.topk import rank_counts
 from plumbline.session import pin
 
-# Label lists up to this length visit the driver; longer ones stay a distributed table.
-LABEL_LIMIT = 100_000
 
+def _nominal(values: int) -> dict:
+    """The metadata by which trees and encoders know a category index and its number of values."""
+    return {"ml_attr": {"type": "nominal", "num_vals": values}}
+
+
+@dataclass
+class CategoryIndex:
+    """Fitted indexes of some columns: a table ``(value, index)`` and the number of values of each.
 
-def _frequent_labels(
-    df: DataFrame, cols: Sequence[str], limit: int
-) -> tuple[dict[str, list[str] | None], dict[str, DataFrame]]:
-    """Labels per column in index order, None for a column with more than ``limit``; and the counts per column.
+    The tables stay distributed, so a column can have any number of values.
+    """
 
-    All columns are counted in one pass, combined before the shuffle, and the
-    number of labels fetched is limited.
+    tables: dict[str, DataFrame]
+    sizes: dict[str, int]
+
+    def transform(self, df: DataFrame, cols: Sequence[str], outs: Sequence[str], invalid: str = "error") -> DataFrame:
+        """Add the indexes; a null or unknown value fails, loses its row (``skip``) or is one further index (``keep``)."""
+        for col, out in zip(cols, outs):
+            size = self.sizes[col]
+            table = self.tables[col].select(F.col("value").alias("_value"), F.col("index").alias("_index"))
+            keyed = df.withColumn("_value", F.col(col).cast("string"))
+            joined = lookup_join(keyed, table, "_value", how="inner" if invalid == "skip" else "left").drop("_value")
+            index = F.col("_index")
+            if invalid == "keep":
+                index = F.coalesce(index, F.lit(float(size)))
+            elif invalid == "error":
+                missing = F.raise_error(F.lit(f"null or unknown category in column {col}, use invalid='skip' or 'keep'"))
+                index = F.coalesce(index, missing.cast("double"))
+            named = index.alias(out, metadata=_nominal(size + (invalid == "keep")))
+            df = joined.select(*[F.col(f"`{c}`") for c in joined.columns if c not in ("_index", out)], named)
+        return df
+
+
+def fit_index(df: DataFrame, cols: Sequence[str]) -> CategoryIndex:
+    """Count the values of the columns, as text, and index them: most frequent is 0, ties by text.
+
+    All columns are counted in one pass, combined before the shuffle; the order
+    is a range sort over all tasks.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)]
-    )
-    counts = (
-        df.select(F.inline(pairs))
-        .where(F.col("value").isNotNull())
-        .groupBy("at", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    most = limit * len(cols)
-    fetched = counts.limit(most + 1).collect()
-    complete = len(fetched) <= most
-    if not complete:
-        counts = pin(counts, "labels")
-    labels: dict[str, list[str] | None] = {}
-    per_column: dict[str, DataFrame] = {}
-    for i, c in enumerate(cols):
-        per_column[c] = counts.where(F.col("at") == i).select("value", "n")
-        rows = [r for r in fetched if r["at"] == i] if complete else per_column[c].limit(limit + 1).collect()
-        ordered = sorted(rows, key=lambda r: (-r["n"], r["value"]))
-        labels[c] = [r["value"] for r in ordered] if len(rows) <= limit else None
-    return labels, per_column
-
-
-def _indexer(labels: list[str], col: str, out: str, invalid: str) -> StringIndexerModel:
-    return StringIndexerModel.from_labels(labels, inputCol=col, outputCol=out, handleInvalid=invalid)
-
-
-def string_indexer(
-    df: DataFrame, cols: Sequence[str], outs: Sequence[str], invalid: str = "error", limit: int = LABEL_LIMIT
-) -> PipelineModel:
-    """Fitted indexer for columns with at most ``limit`` labels; most frequent label is 0."""
-    labels, _ = _frequent_labels(df, cols, limit)
-    too_many = [c for c, found in labels.items() if found is None]
-    if too_many:
-        raise ValueError(f"more than {limit} labels in {too_many}: such a column cannot be a model feature")
-    return PipelineModel([_indexer(labels[c], c, o, invalid) for c, o in zip(cols, outs)])
-
-
-def _index_by_rank(df: DataFrame, counts: DataFrame, col: str, out: str, invalid: str) -> DataFrame:
-    """The same indexes for any number of labels, by a join with the rank table."""
-    ranks = rank_counts(counts)
-    size = ranks.count()
-    table = ranks.select(F.col("value").alias("_value"), (F.col("rank") - 1).cast("double").alias(out))
-    keyed = df.withColumn("_value", F.col(col).cast("string"))
-    if invalid == "skip":
-        return lookup_join(keyed.where(F.col(col).isNotNull()), table, "_value", size).drop("_value")
-    joined = lookup_join(keyed, table, "_value", size, how="left").drop("_value")
-    if invalid == "keep":
-        return joined.withColumn(out, F.coalesce(F.col(out), F.lit(float(size))))
-    missing = F.raise_error(F.lit(f"null in column {col}, use invalid='skip' or 'keep'")).cast("double")
-    return joined.withColumn(out, F.coalesce(F.col(out), missing))
-
-
-def index_strings(
-    df: DataFrame, cols: Sequence[str], outs: Sequence[str], invalid: str = "error", limit: int = LABEL_LIMIT
-) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)])
+    values = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+    ranked = pin(rank_counts(values.groupBy("at", "value").agg(F.count("*").alias("n")), "at"), "categories")
+    sizes = dict(ranked.groupBy("at").count().collect())
+    tables = {
+        c: ranked.where(F.col("at") == i).select("value", (F.col("rank") - 1).cast("double").alias("index"))
+        for i, c in enumerate(cols)
+    }
+    return CategoryIndex(tables, {c: sizes.get(i, 0) for i, c in enumerate(cols)})
+
+
+def index_strings(df: DataFrame, cols: Sequence[str], outs: Sequence[str], invalid: str = "error") -> DataFrame:
     """Categories as double indexes: most frequent is 0, ties by text, numbers as text.
 
     Null categories follow ``invalid``: ``error``, ``skip`` the row, or ``keep``
-    them as one further index.  Columns with a short label list get the ML
-    metadata tree models use; longer ones are indexed by a join.
+    them as one further index.  One way for any number of values, by a join with
+    the distributed table of ranks; the indexes carry the number of values.
     """
-    labels, counts = _frequent_labels(df, cols, limit)
-    for c, o in zip(cols, outs):
-        if labels[c] is None:
-            df = _index_by_rank(df, counts[c], c, o, invalid)
-        else:
-            df = _indexer(labels[c], c, o, invalid).transform(df)
-    return df
+    return fit_index(df, cols).transform(df, cols, outs, invalid)
+
+
+def hashed_index(df: DataFrame, cols: Sequence[str], outs: Sequence[str], buckets: int) -> DataFrame:
+    """Categories as one of ``buckets`` indexes by a hash, for columns too wide for a vector of their values; null is a value."""
+
+    def bucket(col: str) -> Column:
+        return F.pmod(F.xxhash64(F.coalesce(F.col(col).cast("string"), F.lit("null"))), F.lit(buckets)).cast("double")
+
+    return df.select("*", *[bucket(c).alias(o, metadata=_nominal(buckets)) for c, o in zip(cols, outs)])
 
 
 def drop_invalid_categories(df: DataFrame, cols: Sequence[str], outs: Sequence[str]) -> DataFrame:
@@ -102,9 +90,9 @@ def drop_invalid_categories(df: DataFrame, cols: Sequence[str], outs: Sequence[s
     return index_strings(df, cols, outs, invalid="skip")
 
 
-def index_users(df: DataFrame, name: str = "username", out: str = "userId", limit: int = LABEL_LIMIT) -> DataFrame:
+def index_users(df: DataFrame, name: str = "username", out: str = "userId") -> DataFrame:
     """User names as the surrogate integers a recommender needs, for any number of users."""
-    return index_strings(df, [name], [out], limit=limit).withColumn(out, F.col(out).cast("int"))
+    return index_strings(df, [name], [out]).withColumn(out, F.col(out).cast("int"))
 
 
 def one_hot(df: DataFrame, cols: Sequence[str], outs: Sequence[str], drop_last: bool = True) -> DataFrame:
@@ -118,13 +106,37 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", invalid:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid=invalid).transform(df)
 
 
+def encode_categories(train: DataFrame, df: DataFrame, cols: Sequence[str], outs: Sequence[str], buckets: int | None = None) -> tuple[DataFrame, list[str]]:
+    """Vectors of the categories of ``train``, added to ``df``, and the names of those that hold anything.
+
+    One column fewer than there are categories: the rarest one and unknown ones
+    are all zeros, so no vector repeats the intercept.  ``buckets`` hashes the
+    values into that many categories instead of counting them.
+    """
+    indexes = [f"_{o}_index" for o in outs]
+    if buckets:
+        df, sizes = hashed_index(df, cols, indexes, buckets), [buckets] * len(cols)
+    else:
+        fitted = fit_index(train, cols)
+        df, sizes = fitted.transform(df, cols, indexes, invalid="keep"), [fitted.sizes[c] for c in cols]
+    # A column with a single category says nothing and has no vector.
+    useful = [(i, o, n) for i, o, n in zip(indexes, outs, sizes) if n > 1]
+    clipped = {i: F.least(F.col(i), F.lit(float(n - 1))).alias(i, metadata=_nominal(n)) for i, _, n in useful}
+    df = df.select(*[clipped.get(c, F.col(f"`{c}`")) for c in df.columns if c not in indexes or c in clipped])
+    if useful:
+        df = one_hot(df, [i for i, _, _ in useful], [o for _, o, _ in useful]).drop(*clipped)
+    return df, [o for _, o, _ in useful]
+
+
 def feature_stages(
     cat_cols: Sequence[str], num_cols: Sequence[str], estimator: Estimator | None = None, invalid: str = "keep"
 ) -> Pipeline:
     """Indexer, encoder, assembler and the estimator, fitted as one.
 
     Categories that only occur in scored rows get an index of their own
-    (``invalid="keep"``), so hold-out rows never fail.
+    (``invalid="keep"``), so hold-out rows never fail.  The labels are part of the
+    fitted stages, as Spark's indexer keeps them; for columns with very many
+    values use ``fit_index`` or ``hashed_index``, whose tables stay distributed.
     """
     indexes = [f"{c}_index" for c in cat_cols]
     vectors = [f"{c}_vector" for c in cat_cols]

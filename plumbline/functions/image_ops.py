@@ -7,7 +7,7 @@ depends on another, so the work splits over any number of tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -124,14 +124,15 @@ def image_pixels(
     width: int = IMAGE_WIDTH,
     height: int = IMAGE_HEIGHT,
     image: str = "image",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Stretch, gray rule and flattening in a single pass over the image bytes."""
+    """Stretch, gray rule and flattening in a single pass over the image bytes; ``keep`` names further columns to carry."""
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def features(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         return _each_image(batches, lambda pixels: _gray(_stretch(pixels, width, height)).T.ravel().astype(np.int32))
 
-    return _named(df, label, image).select("name", "label", features(*_image_args(image)).alias("pixels"))
+    return _named(df, label, image).select("name", "label", *keep, features(*_image_args(image)).alias("pixels"))
 
 
 def _named(df: DataFrame, label: int | None, image: str) -> DataFrame:

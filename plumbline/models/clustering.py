@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.models.estimators import SEED
 from plumbline.models.metrics import silhouette_score
-from plumbline.session import fits_at_once, run_together
+from plumbline.session import Report, fits_at_once, run_together
 
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = SEED, **params) -> KMeansModel:
@@ -31,7 +31,7 @@ def clustering_sse(df: DataFrame, model: KMeansModel) -> DataFrame:
 
 
 @dataclass
-class KMeansSweep:
+class KMeansSweep(Report):
     """Models of several ``k`` with their scores, sizes and centres."""
 
     models: Mapping[int, KMeansModel]

@@ -12,6 +12,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SEED = 42
 
@@ -46,7 +47,10 @@ def fit_naive_bayes(df: DataFrame, smoothing: float = 1.0, **params) -> Model:
 
 
 def fit_linear_svm(df: DataFrame, iterations: int = 100, reg: float = 0.01, **params) -> Model:
-    """Linear SVM on labels 0 and 1, hinge loss, without intercept."""
+    """Linear SVM on labels 0 and 1, hinge loss, without intercept.
+
+    Spark's solver and its L2 penalty: weights differ from those of stochastic descent.
+    """
     return LinearSVC(maxIter=iterations, regParam=reg, fitIntercept=False, standardization=False, **params).fit(df)
 
 
@@ -57,13 +61,10 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
 
 def naive_bayes_weights(df: DataFrame, model: Model) -> DataFrame:
     """Class priors and feature weights as rows ``(label, feature, pi, theta)``."""
-    pi, theta = model.pi.toArray(), model.theta.toArray()
-    rows = [
-        (label, feature, float(pi[label]), float(theta[label, feature]))
-        for label in range(theta.shape[0])
-        for feature in range(theta.shape[1])
-    ]
-    return df.sparkSession.createDataFrame(rows, "label int, feature int, pi double, theta double")
+    rows = [(label, float(pi), theta.tolist()) for label, (pi, theta) in enumerate(zip(model.pi.toArray(), model.theta.toArray()))]
+    per_label = df.sparkSession.createDataFrame(rows, "label int, pi double, weights array<double>")
+    spread = per_label.select("label", "pi", F.posexplode("weights").alias("feature", "theta"))
+    return spread.select("label", "feature", "pi", "theta")
 
 
 def tree_rules(df: DataFrame, model: Model) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.aggregates import confusion_counts
@@ -53,12 +53,12 @@ def rates_by_label(pred: DataFrame, label: str = "label", prediction: str = "pre
         F.struct(actual.alias("label"), n.alias("rows"), none.alias("guessed"), hits.alias("hits")),
         F.struct(guess.alias("label"), none.alias("rows"), n.alias("guessed"), none.alias("hits")),
     )
+    counts = confusion_counts(pred, label, prediction)
     sums = (
-        confusion_counts(pred, label, prediction)
-        .select(F.inline(roles))
+        counts.select(F.inline(roles))
         .groupBy("label")
         .agg(F.sum("rows").alias("rows"), F.sum("guessed").alias("guessed"), F.sum("hits").alias("hits"))
-        .withColumn("total", F.sum("rows").over(Window.partitionBy(F.lit(1))))
+        .withColumn("total", counts.agg(F.sum("count")).scalar())
         .where(F.col("rows") > 0)
     )
     return sums.select(

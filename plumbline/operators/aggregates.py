@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Widest pivot; the long form of interaction_totals has no such limit.
-PIVOT_COLUMNS = 10_000
-
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n"))
@@ -34,13 +31,12 @@ def interaction_matrix(
 ) -> DataFrame:
     """One row per user and one column per item, null where the pair is missing.
 
-    Give ``values`` when the items are known, it saves a job.  For more items
-    than a table can have columns use ``interaction_totals``.
+    Give ``values`` when the items are known, it saves a job.  The items become
+    columns, so their names reach the driver; ``interaction_totals`` gives the
+    same values as rows, for any number of items.
     """
     if values is None:
-        found = df.select(item).where(F.col(item).isNotNull()).distinct().limit(PIVOT_COLUMNS + 1).collect()
-        if len(found) > PIVOT_COLUMNS:
-            raise ValueError(f"more than {PIVOT_COLUMNS} items: use interaction_totals")
+        found = df.select(item).where(F.col(item).isNotNull()).distinct().toLocalIterator()
         values = sorted(row[0] for row in found)
     return df.groupBy(user).pivot(item, list(values)).sum(value)
 

@@ -4,47 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side of at most this many narrow rows is broadcast; above it both sides shuffle.
-BROADCAST_ROWS = 200_000
+# Parts into which rows without a key are spread in a left join.
+KEYLESS_PARTS = 1024
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
-    """Values of ``key`` that may hold ``share`` or more of the rows (at most ``1/share`` values).
-
-    One pass over one column without a shuffle of the rows.  The list can name
-    a value that is not hot, and never misses one that is.
-    """
-    found = df.select(key).freqItems([key], share).first()[0]
-    return [v for v in found if v is not None]
-
-
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    lookup_rows: int | None = None,
-    how: str = "inner",
-    salts: int = 64,
-) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join many rows to a table that has each key once.
 
-    A lookup of known small size is broadcast.  Otherwise both sides shuffle by
-    key, and keys holding a large share of the rows are spread over ``salts``
-    sub-keys; only the lookup rows of those keys are repeated.
+    Spark broadcasts the lookup by its size in bytes; otherwise both sides shuffle
+    by key, and adaptive execution splits the partitions of keys that hold many
+    rows, between the tasks those rows come from (each task's share is bounded by
+    its input).  Rows without a key match nothing: an inner join drops them before it
+    shuffles, and a left join spreads them by a hash of their other columns and of
+    the task they come from.
     """
-    if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
-        return df.join(F.broadcast(lookup), key, how)
-    hot = hot_keys(df, key)
-    if not hot:
+    if how == "inner":
         return df.join(lookup, key, how)
-    is_hot = F.col(key).isin(hot)
-    # The partition number spreads copies of one row too, and does not depend on row order.
-    salt = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = df.withColumn("_salt", salt)
-    right = lookup.withColumn("_salt", F.explode(copies))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in plain]), F.lit(KEYLESS_PARTS))
+    left = df.withColumn("_spread", F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
+    return left.join(lookup.withColumn("_spread", F.lit(0).cast("long")), [key, "_spread"], how).drop("_spread")
 
 
 def attach_user_names(

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def union_all(a: DataFrame, b: DataFrame, by_name: bool = False) -> DataFrame:
@@ -27,13 +26,14 @@ def holdout_bucket(df: DataFrame, key: str | Sequence[str] | None = None) -> Col
     """A bucket 0..99 that depends on the key values alone.
 
     It does not move when the table is repartitioned or a task runs again.
-    Without a key the whole row is hashed.
+    Keys of every type are hashed by their text, so runs and steps of numbers
+    spread; null is a value like others.  Without a key the whole row is hashed.
     """
-    cols = list(df.columns) if key is None else [key] if isinstance(key, str) else list(key)
-    if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, T.IntegralType):
-        spread = F.pmod(F.col(cols[0]).cast("long"), F.lit(100)) * 7919 + 17
-        return F.pmod(spread, F.lit(100))
-    return F.pmod(F.xxhash64(*cols), F.lit(100))
+    if key is None:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(100))
+    cols = [key] if isinstance(key, str) else list(key)
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % 100
 
 
 def key_holdout(df: DataFrame, key: str | Sequence[str] | None, pct: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -55,6 +55,6 @@ def stratified_holdout(
     """
     share = F.lit(0)
     for value, pct in percents.items():
-        share = F.when(F.col(label) == F.lit(value), F.lit(pct)).otherwise(share)
+        share = F.when(F.col(label).eqNullSafe(F.lit(value)), F.lit(pct)).otherwise(share)
     bucket = holdout_bucket(df, key)
     return df.where(bucket < share), df.where(bucket >= share)

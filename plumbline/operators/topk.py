@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,24 +13,29 @@ def preview(df: DataFrame, n: int = 20, order_by: list | None = None) -> DataFra
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def rank_counts(counts: DataFrame) -> DataFrame:
-    """``(value, n)`` ordered by falling ``n``, then by value: ``(value, n, rank)`` from rank 1.
+def rank_counts(counts: DataFrame, group: str | None = None) -> DataFrame:
+    """``(value, n)`` ordered by falling ``n``, then by value: ``(value, n, rank)`` from rank 1, or from 1 in each ``group``.
 
     Any number of values: they are range-sorted over all tasks, and a rank is
     the place in the task plus the size of the tasks before it, of which only
-    the per-task sizes visit the driver.
+    the sizes per task (and group) visit the driver.
     """
+    by = [group] if group else []
     # The upper 31 bits of the id number the task, the lower 33 the row in it.
-    numbered = counts.orderBy(F.desc("n"), F.asc("value")).withColumn("_id", F.monotonically_increasing_id())
+    numbered = counts.orderBy(*by, F.desc("n"), F.asc("value")).withColumn("_id", F.monotonically_increasing_id())
     task, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    ordered = pin(numbered.select("value", "n", task.alias("_task"), row.alias("_row")), "rank")
-    sizes = sorted((r["_task"], r["size"]) for r in ordered.groupBy("_task").agg(F.count("*").alias("size")).collect())
-    before = [0, *accumulate(size for _, size in sizes)]
-    offsets = counts.sparkSession.createDataFrame(
-        [(task, start) for (task, _), start in zip(sizes, before)], "_task long, _start long"
-    )
-    return ordered.join(F.broadcast(offsets), "_task").select(
-        "value", "n", (F.col("_start") + F.col("_row") + 1).alias("rank")
+    ordered = pin(numbered.select(*by, "value", "n", task.alias("_task"), row.alias("_row")), "rank")
+    of = F.col(group) if group else F.lit(0)
+    sizes = ordered.groupBy("_task", of.alias("_group")).agg(F.count("*").alias("size"), F.min("_row").alias("first")).collect()
+    before: dict = {}
+    starts = []
+    for r in sorted(sizes, key=lambda r: (r["_task"], r["first"])):
+        held = before.get(r["_group"], 0)
+        starts.append((r["_task"], r["_group"], held - r["first"]))
+        before[r["_group"]] = held + r["size"]
+    offsets = counts.sparkSession.createDataFrame(starts, f"_task long, _group {'int' if not group else counts.schema[group].dataType.simpleString()}, _start long")
+    return ordered.withColumn("_group", of).join(F.broadcast(offsets), ["_task", "_group"]).select(
+        *by, "value", "n", (F.col("_start") + F.col("_row") + 1).alias("rank")
     )
 
 

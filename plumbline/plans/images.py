@@ -14,14 +14,16 @@ from plumbline.functions.image_ops import IMAGE_HEIGHT, IMAGE_WIDTH, image_pixel
 from plumbline.models.estimators import fit_forest_regression
 from plumbline.models.metrics import accuracy
 from plumbline.models.tuning import compare_models
-from plumbline.operators.splits import stratified_holdout
-from plumbline.session import pin
+from plumbline.operators.splits import holdout_bucket
+from plumbline.session import Report, owns_pins, pin
 from plumbline.sources.image_folders import drop_undecodable_images, label_image_folders, read_images
 from plumbline.sources.pixel_lines import labeled_points, write_pixel_lines
 
+TRAINING = "is_training"
+
 
 @dataclass
-class ForestReport:
+class ForestReport(Report):
     model: Model
     predictions: DataFrame
     training_rows: DataFrame
@@ -37,7 +39,7 @@ def image_features(
 ) -> DataFrame:
     """Pixel rows ``(name, label, pixels)`` of an image folder; the images stay as they are.
 
-    With ``out_path`` the rows are appended there as pixel lines.
+    With ``out_path`` the rows are written there as pixel lines, in place of earlier ones of the label.
     """
     pixels = image_pixels(read_images(spark, path), label, width, height)
     if out_path:
@@ -75,6 +77,7 @@ def image_batch_score(
     return scored, accuracy(scored)
 
 
+@owns_pins
 def image_forest(
     spark: SparkSession,
     folders: Mapping[str, int],
@@ -85,8 +88,9 @@ def image_forest(
 ) -> ForestReport:
     """Forest regression on labelled image folders, split within each class by file."""
     images = label_image_folders(spark, folders).withColumn("_origin", F.col("image.origin"))
-    train, test = stratified_holdout(images, "label", {label: pct for label in folders.values()}, "_origin")
-    pixels = lambda part: labeled_points(image_pixels(part, None, width, height))
-    training = pin(pixels(train), "forest-points")
-    model = fit_forest_regression(training, **params)
-    return ForestReport(model, model.transform(pixels(test)), training)
+    flagged = images.withColumn(TRAINING, holdout_bucket(images, "_origin") < pct)
+    # Every image is read and decoded once; both parts are filters over the written points.
+    pixels = image_pixels(flagged, None, width, height, keep=[TRAINING])
+    points = pin(labeled_points(pixels, keep=[TRAINING]), "forest-points")
+    model = fit_forest_regression(points.where(TRAINING), **params)
+    return ForestReport(model, model.transform(points.where(~F.col(TRAINING))), points.where(TRAINING))

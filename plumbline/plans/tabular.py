@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.categories import COUNTRY_GROUPS, KEPT_COUNTRIES, group_category
-from plumbline.functions.encoding import assemble, feature_stages, one_hot, string_indexer
+from plumbline.functions.encoding import assemble, encode_categories, fit_index, hashed_index, one_hot
 from plumbline.functions.text import INDICATOR_STOP_WORDS, leading_ngram
 from plumbline.models.clustering import KMeansSweep, fit_kmeans, kmeans_sweep
 from plumbline.models.estimators import SEED, tree_rules
@@ -32,7 +32,6 @@ from plumbline.models.tuning import (
     compare_models,
     param_grid,
     tune,
-    tuner,
     validation_scores,
 )
 from plumbline.operators.aggregates import (
@@ -52,14 +51,14 @@ from plumbline.operators.columns import (
     threshold_label,
 )
 from plumbline.operators.splits import holdout_bucket
-from plumbline.session import balance, fits_at_once, pin
+from plumbline.session import Report, owns_pins, pin
 from plumbline.sources.tables import write_csv_table
 
 TRAINING = "is_training"
 
 
 @dataclass
-class Screening:
+class Screening(Report):
     description: DataFrame
     correlations: DataFrame
     kept: list[str]
@@ -67,7 +66,7 @@ class Screening:
 
 
 @dataclass
-class TunedReport:
+class TunedReport(Report):
     """A tuned model with its grid scores and the metrics of both parts."""
 
     model: Model
@@ -79,7 +78,7 @@ class TunedReport:
 
 
 @dataclass
-class TreeReport:
+class TreeReport(Report):
     models: dict[str, Model]
     accuracies: DataFrame
     rules: dict[str, DataFrame]
@@ -87,7 +86,7 @@ class TreeReport:
 
 
 @dataclass
-class ClusterReport:
+class ClusterReport(Report):
     model: KMeansModel
     predictions: DataFrame
     sse: float
@@ -99,22 +98,21 @@ def mark_training(df: DataFrame, key: str | Sequence[str] | None, pct: int) -> D
     return df.withColumn(TRAINING, holdout_bucket(df, key) < pct)
 
 
-def encode_and_pin(df: DataFrame, label: str, cat_cols: Sequence[str], num_cols: Sequence[str]) -> DataFrame:
+def encode_and_pin(
+    df: DataFrame, label: str, cat_cols: Sequence[str], num_cols: Sequence[str], buckets: int | None = None
+) -> DataFrame:
     """``(is_training, label, features)`` as a stable table.
 
-    Categories are counted on the training rows alone; others score as unknown.
+    The plain columns are written first, so what they come from runs once for
+    the count of categories and the encoding.  Categories are counted on the
+    training rows alone; others score as unknown.  ``buckets`` hashes them.
     """
-    df = df.select(TRAINING, F.col(label).cast("double").alias("label"), *cat_cols, *num_cols)
-    training = df.where(TRAINING)
-    df = balance(df)
+    plain = df.select(TRAINING, F.col(label).cast("double").alias("label"), *cat_cols, *num_cols)
+    vectors: list[str] = []
     if cat_cols:
-        indexes = [f"{c}_index" for c in cat_cols]
-        vectors = [f"{c}_vector" for c in cat_cols]
-        indexer = string_indexer(training, cat_cols, indexes, invalid="keep")
-        df = one_hot(indexer.transform(df), indexes, vectors)
-    else:
-        vectors = []
-    features = assemble(df, [*vectors, *num_cols])
+        plain = pin(plain, "columns")
+        plain, vectors = encode_categories(plain.where(TRAINING), plain, cat_cols, [f"{c}_vector" for c in cat_cols], buckets)
+    features = assemble(plain, [*vectors, *num_cols])
     return pin(features.select(TRAINING, "label", "features"), "features")
 
 
@@ -138,6 +136,7 @@ def screen_features(
     return Screening(describe_long(df), correlations, kept.columns, correlation_matrix(kept, numeric_columns(kept)))
 
 
+@owns_pins
 def price_regression(
     df: DataFrame,
     label: str,
@@ -148,6 +147,7 @@ def price_regression(
     pct: int = 80,
     grid: tuple[Sequence[float], Sequence[float]] = PRICE_GRID,
     train_ratio: float = 0.75,
+    buckets: int | None = None,
     seed: int = SEED,
 ) -> TunedReport:
     """Tuned elastic-net regression with r2 and RMSE on training and hold-out rows.
@@ -158,7 +158,7 @@ def price_regression(
     if ratio:
         df = null_to_zero(ratio_column(df, *ratio), [ratio[2]], suffix="")
         num_cols = [*num_cols, ratio[2]]
-    frame = encode_and_pin(mark_training(df, key, pct), label, cat_cols, num_cols)
+    frame = encode_and_pin(mark_training(df, key, pct), label, cat_cols, num_cols, buckets)
     est = LinearRegression()
     tuned = tune(frame.where(TRAINING), est, param_grid(est, *grid), ratio=train_ratio, seed=seed)
     predictions = tuned.bestModel.transform(frame)
@@ -171,6 +171,7 @@ def price_regression(
     )
 
 
+@owns_pins
 def segment_by_kmeans(
     df: DataFrame,
     num_cols: Sequence[str],
@@ -181,10 +182,11 @@ def segment_by_kmeans(
     """Clusters of numeric columns for several ``k``, with sizes, SSE and silhouette."""
     if ratio:
         df = ratio_column(df, *ratio)
-    frame = pin(assemble(balance(df.select(*num_cols)), num_cols).select("features"), "points")
+    frame = pin(assemble(df.select(*num_cols), num_cols).select("features"), "points")
     return kmeans_sweep(frame, ks, seed=seed)
 
 
+@owns_pins
 def activity_forecast(
     df: DataFrame,
     label: str,
@@ -196,24 +198,23 @@ def activity_forecast(
     pct: int = 90,
     grid: tuple[Sequence[float], Sequence[float]] = ACTIVITY_GRID,
     train_ratio: float = 0.9,
+    buckets: int | None = None,
     seed: int = SEED,
 ) -> TunedReport:
-    """Next-period activity by tuned regression, encoders and search fitted as one.
+    """Next-period activity by tuned regression on encoded categories and numbers.
 
     ``zero_filled`` columns (the label among them) are used under their name
-    with ``_cleaned`` behind it.  The hold-out is scored through all stages.
+    with ``_cleaned`` behind it.  The hold-out is encoded as the training rows are.
     """
     df = null_to_zero(filter_expr(df, condition), zero_filled)
     df = df.withColumnRenamed(f"{label}_cleaned", "label").drop(*zero_filled)
     inputs = [f"{c}_cleaned" if c in zero_filled else c for c in num_cols]
-    frame = pin(balance(mark_training(df, key, pct).select(TRAINING, "label", *cat_cols, *inputs)), "activity")
+    frame = encode_and_pin(mark_training(df, key, pct), "label", cat_cols, inputs, buckets)
     est = LinearRegression()
-    search = tuner(est, param_grid(est, *grid), ratio=train_ratio, seed=seed, parallelism=fits_at_once(frame))
-    fitted = feature_stages(cat_cols, inputs, search).fit(frame.where(TRAINING))
-    predictions = fitted.transform(frame)
-    tuned = fitted.stages[-1]
+    tuned = tune(frame.where(TRAINING), est, param_grid(est, *grid), ratio=train_ratio, seed=seed)
+    predictions = tuned.bestModel.transform(frame)
     return TunedReport(
-        fitted,
+        tuned.bestModel,
         regression_metrics(predictions, by=[TRAINING]),
         validation_scores(df, tuned),
         best_params(df, tuned),
@@ -221,6 +222,7 @@ def activity_forecast(
     )
 
 
+@owns_pins
 def lapse_classifier(
     df: DataFrame,
     outcome: str,
@@ -233,6 +235,7 @@ def lapse_classifier(
     grid: tuple[Sequence[float], Sequence[float]] = LAPSE_GRID,
     train_ratio: float = 0.8,
     evaluator: Evaluator | None = None,
+    buckets: int | None = None,
     seed: int = SEED,
 ) -> TunedReport:
     """Tuned logistic model of who goes quiet: label 1 when ``outcome`` is zero or missing.
@@ -243,7 +246,7 @@ def lapse_classifier(
     df = null_to_zero(filter_expr(df, condition), zero_filled)
     df = threshold_label(df, outcome, ">", 0, if_true=0, if_false=1)
     inputs = [f"{c}_cleaned" if c in zero_filled else c for c in num_cols]
-    frame = encode_and_pin(mark_training(df, key, pct), "label", cat_cols, inputs)
+    frame = encode_and_pin(mark_training(df, key, pct), "label", cat_cols, inputs, buckets)
     est = LogisticRegression()
     evaluator = evaluator or MulticlassClassificationEvaluator(metricName="accuracy")
     tuned = tune(frame.where(TRAINING), est, param_grid(est, *grid), evaluator, ratio=train_ratio, seed=seed)
@@ -263,6 +266,7 @@ def lapse_classifier(
     )
 
 
+@owns_pins
 def trial_conversion(
     df: DataFrame,
     category: str,
@@ -279,8 +283,9 @@ def trial_conversion(
     df = threshold_label(group_category(df, category, groups, keep), paid, ">=", 1)
     df = mark_training(df, key, pct).select(TRAINING, F.col("label").cast("double").alias("label"), category, *num_cols)
     index = f"{category}_index"
-    indexer = string_indexer(df.where(TRAINING), [category], [index], invalid="keep")
-    frame = assemble(indexer.transform(balance(df)), [index, *num_cols])
+    df = pin(df, "trial-columns")
+    indexed = fit_index(df.where(TRAINING), [category]).transform(df, [category], [index], invalid="keep")
+    frame = assemble(indexed, [index, *num_cols])
     frame = pin(frame.select(TRAINING, "label", "features"), "trials")
     estimators = {
         "decision_tree": DecisionTreeClassifier(maxDepth=max_depth, seed=seed),
@@ -291,6 +296,7 @@ def trial_conversion(
     return TreeReport(models, accuracies, {n: tree_rules(df, m) for n, m in models.items()}, holdout)
 
 
+@owns_pins
 def name_clustering(
     df: DataFrame,
     ident: str,
@@ -300,6 +306,7 @@ def name_clustering(
     equals: Mapping[str, object] | None = None,
     zero_filled: Sequence[str] = (),
     k: int = 210,
+    buckets: int | None = None,
     words: Sequence[str] = INDICATOR_STOP_WORDS,
     out_path: str | None = None,
     seed: int = SEED,
@@ -308,16 +315,20 @@ def name_clustering(
 
     Names with the same trigram and category are the same point, so the model
     is fitted on the distinct points with their counts as weights.  Rows
-    without a trigram drop out.  ``out_path`` takes the clusters as CSV.
+    without a trigram drop out.  A vector has a place for every trigram; ``buckets``
+    hashes them to that many where a centre of that width would not fit a task.
+    ``out_path`` takes the clusters as CSV.
     """
     df = null_to_zero(require_columns(df, not_null, equals), zero_filled, suffix="")
     df = leading_ngram(df, name, 3, words).select(ident, name, "leading_ngram", category)
     rows = pin(df.where(F.col("leading_ngram").isNotNull() & F.col(category).isNotNull()), "names")
     indexes, vectors = ["_ngram_index", "_category_index"], ["_ngram_vector", "_category_vector"]
-    indexer = string_indexer(rows, ["leading_ngram", category], indexes, invalid="skip")
+    names = ["leading_ngram", category]
+    fitted = None if buckets else fit_index(rows, names)
 
     def encode(frame: DataFrame) -> DataFrame:
-        return assemble(one_hot(indexer.transform(frame), indexes, vectors), vectors).drop(*indexes, *vectors)
+        frame = hashed_index(frame, names, indexes, buckets) if buckets else fitted.transform(frame, names, indexes, invalid="skip")
+        return assemble(one_hot(frame, indexes, vectors), vectors).drop(*indexes, *vectors)
 
     points = pin(encode(rows.groupBy("leading_ngram", category).agg(F.count("*").alias("weight"))), "name-points")
     model = fit_kmeans(points, k, seed=seed, weightCol="weight")

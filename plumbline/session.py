@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -21,7 +23,7 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
     )
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
+        if is_local(master):
             # Small files: let every core have a part of them.
             builder = builder.config("spark.sql.files.openCostInBytes", "256k")
     for key, value in conf.items():
@@ -29,6 +31,11 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and tasks are one process (``local``, ``local[n]``), not a cluster of any kind."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which every executor can reach.
 
@@ -40,7 +47,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir")
         if configured:
             sc.setCheckpointDir(configured)
-        elif sc.master.startswith("local"):
+        elif is_local(sc.master):
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="plumbline-"))
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -71,14 +78,65 @@ def pin(df: DataFrame, name: str = "pin") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Lists of the tables pinned by the jobs that run now, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+class Report:
+    """What a job gives back; it owns the tables the job pinned.
+
+    ``close`` (or leaving a ``with`` block) deletes them, after which the frames
+    over them stop working.
+    """
+
+    _pins: tuple[str, ...] = ()
+    _session: SparkSession | None = None
+
+    def close(self) -> None:
+        for path in self._pins:
+            _delete(self._session, path)
+        self._pins = ()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+def owns_pins(job: Callable) -> Callable:
+    """Hand the tables that ``job`` pins to the report it returns."""
+
+    @functools.wraps(job)
+    def run(*args, **kwargs):
+        _SCOPES.append([])
+        try:
+            report = job(*args, **kwargs)
+        finally:
+            pinned = _SCOPES.pop()
+        if isinstance(report, Report):
+            report._pins += tuple(pinned)
+            report._session = SparkSession.active()
+        elif _SCOPES:
+            _SCOPES[-1].extend(pinned)
+        return report
+
+    return run
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release_pins(spark: SparkSession) -> bool:
     """Delete every table this application pinned, as its last step: frames over them stop working."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_folder(spark)}/plumbline")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.delete(target, True)
+    return _delete(spark, f"{checkpoint_folder(spark)}/plumbline")
 
 
 def fits_at_once(scan: DataFrame) -> int:

@@ -6,6 +6,8 @@ after every image column.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,14 +63,21 @@ def format_pixel_lines(df: DataFrame, height: int | None = None) -> DataFrame:
     return df.select("label", F.concat_ws(",", "name", F.col("label").cast("string"), text).alias("value"))
 
 
-def write_pixel_lines(df: DataFrame, path: str, label: int | None = None, height: int | None = None) -> None:
-    """Append pixel lines to ``path``, one folder per label."""
+def write_pixel_lines(
+    df: DataFrame, path: str, label: int | None = None, height: int | None = None, mode: str = "overwrite"
+) -> None:
+    """Write pixel lines to ``path``, one folder per label.
+
+    A folder of a label that is written again is replaced, so a job that runs
+    twice does not double its lines; ``mode="append"`` adds to it.
+    """
     if label is not None:
         df = df.withColumn("label", F.lit(label))
-    format_pixel_lines(df, height).write.mode("append").partitionBy("label").text(path)
+    writer = format_pixel_lines(df, height).write.mode(mode).partitionBy("label")
+    writer.option("partitionOverwriteMode", "dynamic").text(path)
 
 
-def labeled_points(df: DataFrame) -> DataFrame:
-    """``(name, label double, features vector)`` for the estimators."""
+def labeled_points(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``(name, label double, features vector)`` for the estimators, and the columns to ``keep``."""
     numbers = F.transform("pixels", lambda p: p.cast("double"))
-    return df.select("name", F.col("label").cast("double").alias("label"), array_to_vector(numbers).alias("features"))
+    return df.select("name", F.col("label").cast("double").alias("label"), *keep, array_to_vector(numbers).alias("features"))

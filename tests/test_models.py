@@ -157,7 +157,7 @@ def test_als_lists(spark, sf_dir):
         lists.setdefault(r["username"], []).append(r["rating"])
     assert all(len(v) <= 3 and v == sorted(v, reverse=True) for v in lists.values())
     assert len(lists) == src.searches(spark, sf_dir).select("username").distinct().count()
-    assert report.matrix.columns[0] == "username"
+    assert report.matrix().columns[0] == "username"
 
 
 def test_als_needs_no_integer_type(spark):

@@ -93,7 +93,7 @@ def test_recommender_programs(spark, tmp_path):
     searches = [(f"u{u}", c, 1 + (u * c) % 4) for u in range(6) for c in range(4)]
     spark.createDataFrame(searches, "username string, indicatorId int, count int").write.json(found)
     report = programs.indicator_searches(spark, found, "json", k=2)
-    assert report.by_user.count() == 6 and report.by_item.count() == 4 and len(report.matrix.columns) == 5
+    assert report.by_user.count() == 6 and report.by_item.count() == 4 and len(report.matrix().columns) == 5
 
 
 def test_indicator_names(spark, tmp_path):

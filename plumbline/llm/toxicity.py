@@ -5,8 +5,10 @@ characters; each is weighted by DECAY to the power of the stretch it spans in
 either string (up to five characters), so gapped and inserted characters lower a
 match instead of breaking it.  A text is the set of its units: windows of up to
 eight characters of its words, words with other signs taken out, and letters
-written apart joined together.  Its feature for a landmark is the best normalised
-kernel value of any unit (values below FLOOR count as zero).
+written apart joined together.  It has two features for a landmark: the best
+normalised kernel value of any unit (values below FLOOR count as zero), and the
+values of all its words in proportion to its length, so that a chance match in a
+long text weighs less than insults in a short one.
 
 Landmarks are strings that toxic training texts have and others do not, picked
 greedily until those texts are covered.  The Nystrom map whitens the features by
@@ -43,7 +45,8 @@ from plumbline.session import pin
 TRAIN_TOXIC, TRAIN_OTHER = 6_000, 14_000
 THRESHOLD = 0.3
 UNIT, SPAN, DECAY, FLOOR = 8, 5, 0.6, 0.35
-LANDMARKS, CANDIDATES, COVERED = 64, 4_000, 3
+LANDMARKS, CANDIDATES, COVERED, ODDS, ALIKE_MOST = 64, 4_000, 2, 1.5, 0.8
+RATE = 50  # words of a text in which one full match has full weight
 MEMO = 300_000  # words remembered in a worker
 GROUP = 1 << 21  # characters scored together
 EDGE = ".,;:!?\"'()[]{}<>…«»“”‘’-_*/\\|"
@@ -103,10 +106,12 @@ def units_of(word: str) -> list[str]:
     return out
 
 
-def words_of(text: str | None) -> set[str]:
-    """Distinct words of a text, lower-cased, and runs of letters written apart, joined."""
+def words_of(text: str | None) -> Counter[str]:
+    """How often each word of a text occurs, lower-cased, and runs of letters written apart, joined."""
     low = (text or "").lower()
-    return set(low.split()).union(re.sub(r"[ ._*-]", "", m.group()) for m in APART.finditer(low))
+    words = Counter(low.split())
+    words.update(re.sub(r"[ ._*-]", "", m.group()) for m in APART.finditer(low))
+    return words
 
 
 class Kernel:
@@ -164,10 +169,14 @@ class Scorer:
             new = set().union(*split)
         self.seen |= new
         self._learn(list(new))
-        out, hits = np.zeros((len(texts), self.kernel.n), np.float32), self.hits
+        n, hits = self.kernel.n, self.hits
+        out = np.zeros((len(texts), 2 * n), np.float32)
         for k, words in enumerate(split):
-            if found := [hits[w] for w in words if w in hits]:
-                out[k] = np.max(found, axis=0)
+            if found := [w for w in words if w in hits]:
+                values = np.array([hits[w] for w in found])
+                times = np.array([words[w] for w in found], np.float32)
+                out[k, :n] = values.max(axis=0)
+                out[k, n:] = np.minimum(1, RATE * (times @ values) / (words.total() + RATE))
         return out
 
 
@@ -213,7 +222,7 @@ def _share(most: int, there: int) -> int:
     return 1_000_000 if there <= most else int(1_000_000 * most / there)
 
 
-def _candidates(words: set[str]) -> set[str]:
+def _candidates(words: Counter[str]) -> set[str]:
     """Strings that may become landmarks: units, and the beginnings of words."""
     out = set()
     for word in words:
@@ -237,7 +246,7 @@ def _pick_landmarks(train: DataFrame, n_toxic: int, n_other: int) -> list[str]:
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("other") + 0.5) / (n_other + 1))
     ranked = counted.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where("toxic >= 3").withColumn("odds", odds)
     # Telling strings first, then frequent ones; CANDIDATES rows reach the driver.
-    best = ranked.where("odds >= 3").orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "unit").limit(CANDIDATES).collect()
+    best = ranked.where(F.col("odds") >= ODDS).orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "unit").limit(CANDIDATES).collect()
     odds_of = {r["unit"]: r["odds"] for r in best}
 
     def having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +269,7 @@ def _pick_landmarks(train: DataFrame, n_toxic: int, n_other: int) -> list[str]:
         for k in where.pop(unit):
             need[k] = max(0, need[k] - 1)
         kept = Kernel([unit]).values(list(where))[:, 0] if where else []
-        where = {u: ks for (u, ks), near in zip(where.items(), kept) if near < 0.9}
+        where = {u: ks for (u, ks), near in zip(where.items(), kept) if near < ALIKE_MOST}
     return chosen
 
 
@@ -313,7 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found = own.features(list(texts_of(batch))).astype("<f4")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in found], pa.binary())], ["toxic", "features"])
 
-    # One row of LANDMARKS numbers for each row of the bounded sample.
+    # One row of twice LANDMARKS numbers for each row of the bounded sample.
     rows = sorted((r["toxic"], bytes(r["features"])) for r in train.select("toxic", "text").mapInArrow(features, "toxic int, features binary").collect())
     x = np.array([np.frombuffer(f, "<f4") for _, f in rows], np.float64)
     y = np.array([1.0 if t > 0 else -1.0 for t, _ in rows])
@@ -321,6 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     size, axes = np.linalg.eigh((gram + gram.T) / 2 + 1e-3 * np.eye(len(landmarks)))
     whiten = axes @ np.diag(1 / np.sqrt(np.maximum(size, 1e-3))) @ axes.T
     cost = np.where(y > 0, len(y) / (2 * toxic), len(y) / (2 * other))
+    whiten = np.kron(np.eye(2), whiten)  # the same map for both features
     w = _newton(x @ whiten, y, cost)
     weights = whiten @ w[:-1]
     slope, shift = _logistic(x @ weights + w[-1], (y > 0).astype(float))

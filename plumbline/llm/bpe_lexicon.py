@@ -36,7 +36,7 @@ from plumbline.session import pin
 
 LEXICON = 1 << 18  # words compiled at most; they pass through the driver, so this bounds it
 LONGEST = 48  # bytes of the longest compiled word
-MEMO = 200_000  # words remembered in a worker
+MEMO = 300_000  # words remembered in a worker
 FLUSH = 100_000  # words counted in a worker before they are sent on
 GROUP = 2 << 20  # characters of text whose words are looked up together
 #: The pre-tokenizer pattern of byte-level BPE files, for texts without any character that RARE finds.
@@ -93,13 +93,16 @@ class Merges:
         rank = self.rank
         if len(parts) > 64:
             return self._merge_long(parts)
-        while len(parts) > 1:
-            ranks = [rank.get(p, 1 << 30) for p in zip(parts, parts[1:])]
-            best = min(ranks)
-            if best == 1 << 30:
-                break
+        none = 1 << 30
+        ranks = [rank.get(p, none) for p in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) < none:
             k = ranks.index(best)
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del ranks[k]
+            if k:  # only the pairs beside the merge are new
+                ranks[k - 1] = rank.get((parts[k - 1], parts[k]), none)
+            if k < len(ranks):
+                ranks[k] = rank.get((parts[k], parts[k + 1]), none)
         return [self.id_of[p] for p in parts]
 
     def _merge_long(self, parts: list[bytes]) -> list[int]:
@@ -215,10 +218,8 @@ class Transducer:
         text = np.frombuffer(b"".join(words), np.uint8)
         starts = np.cumsum(lengths) - lengths
         row, state = np.zeros(len(words), np.int64), np.full(len(words), self.root[0], np.int64)
-        alive = np.flatnonzero(lengths <= LONGEST) if len(self.keys) else np.zeros(0, np.int64)
-        state[lengths > LONGEST] = -1
-        if not len(self.keys):
-            state[:] = -1
+        alive = np.flatnonzero((lengths <= LONGEST) & (len(self.keys) > 0))
+        state[(lengths > LONGEST) | ((lengths > 0) & (len(self.keys) == 0))] = -1
         for step in range(LONGEST):
             alive = alive[lengths[alive] > step]
             if not len(alive):

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 #: A backslash, or the first character of a control string.
 CONFLICT = r"\\|<(?=/?s>|<SYS>>|</SYS>>)|\[(?=/?INST\])"
-CONTROL = r"</?s>|<<SYS>>|<</SYS>>|\[/?INST\]"
+#: What a text must not hold: a control string, or a last backslash that escapes nothing.
+CONTROL = r"</?s>|<<SYS>>|<</SYS>>|\[/?INST\]|(?<!\\)(?:\\\\)*\\\z"
 TURNS = "array<struct<role:string,said:string>>"
 
 

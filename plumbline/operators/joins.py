@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 KEYLESS_PARTS = 1024
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner", by_key: bool = False) -> DataFrame:
     """Join many rows to a table that has each key once.
 
     Spark broadcasts the lookup by its size in bytes; otherwise both sides shuffle
@@ -19,7 +19,12 @@ def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner")
     its input).  Rows without a key match nothing: an inner join drops them before it
     shuffles, and a left join spreads them by a hash of their other columns and of
     the task they come from.
+
+    ``by_key`` says that the rows already lie by key, so that one task may hold all
+    rows of a hot one: they are rebalanced before the join, at the price of a second shuffle.
     """
+    if by_key:
+        df = df.hint("rebalance")
     if how == "inner":
         return df.join(lookup, key, how)
     plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]

@@ -105,8 +105,8 @@ SKEW = {
 }
 
 
-def per_task(spark, df):
-    """Rows that each task of a plan gives, under small limits for skewed partitions."""
+def per_task(spark, df, only=None):
+    """Rows (of one key, if given) that each task of a plan gives, under small limits for skewed partitions."""
     for key, value in SKEW.items():
         spark.conf.set(key, value)
     try:
@@ -114,7 +114,7 @@ def per_task(spark, df):
     finally:
         for key in SKEW:
             spark.conf.unset(key)
-    return Counter(r["_task"] for r in rows)
+    return Counter(r["_task"] for r in rows if only is None or r["k"] == only)
 
 
 def test_a_hot_key_is_spread(spark):
@@ -125,6 +125,17 @@ def test_a_hot_key_is_spread(spark):
     assert sum(tasks.values()) == 40_000 and max(tasks.values()) < 14_000
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_hot_key_in_one_input_task_is_spread(spark, how):
+    """All rows of the hot key, a third of the table, come from one input task."""
+    hot = F.col("id") < 66_666
+    big = spark.range(0, 200_000, 1, 3).select(F.when(hot, 0).otherwise(F.col("id") % 49 + 1).alias("k"), "id")
+    assert big.where("k = 0").select(F.spark_partition_id()).distinct().count() == 1
+    lookup = spark.createDataFrame([(k, f"n{k}") for k in range(50)], "k long, name string")
+    tasks = per_task(spark, joins.lookup_join(big, lookup, "k", how, by_key=True), only=0)
+    assert sum(tasks.values()) == 66_666 and len(tasks) >= 3 and max(tasks.values()) < 33_333
+
+
 def test_rows_without_a_key_are_spread(spark):
     big = spark.range(20_000).select(F.lit(None).cast("long").alias("k"), "id").repartition(4)
     lookup = spark.createDataFrame([(1, "one")], "k long, name string")

@@ -1,12 +1,18 @@
-"""Bound-certified best-fit packing of documents into sequences of a fixed length.
+"""Best-fit decreasing packing of documents into sequences of a fixed length, over all tasks at once.
 
 Each task encodes its documents, cuts only those longer than a sequence, and
-packs the pieces by best-fit decreasing.  Dual-feasible functions give a lower
-bound on the bins that the task's lengths need.  A task within its bound is
-certified and keeps all bins but loosely filled ones; in a task with a gap, any of
-the emptiest bins give their documents up for exchange: groups of tasks pool them,
-run best-fit decreasing again and are certified in the same way, until one group
-is left.  Only those few documents ever shuffle (OPEN_BINS bins a group and round).
+numbers its pieces of each length.  Best-fit decreasing needs no more than how many
+pieces there are of each length, so the driver runs it once on that histogram
+(one row per length, whatever the number of documents), on runs of bins that hold
+the same lengths.  A piece's number among all pieces of its length then tells its
+sequence and offset.  The result is that of one best-fit decreasing over the whole
+table, however documents are dealt over tasks, and no document shuffles.
+``lower_bound`` tells from the same histogram how many sequences any packing needs;
+the log states both numbers.
+
+The numbers at which the tasks start are held as ``capacity + 1`` numbers a task (8 kB at
+1024) on the driver and in each worker.  The pieces of a sequence lie where their documents
+lay; group by ``sequence_id`` to lay them out.
 
 Defined cases: a null text counts as empty and packs as its end id alone;
 repeated rows pack each; an empty table gives an empty result; columns other
@@ -15,11 +21,12 @@ than id and text never take part.
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,41 +36,83 @@ from plumbline.llm.common import id_and_text
 from plumbline.llm.tokens import encoder, texts_of
 from plumbline.session import pin
 
-FAN_IN = 16  # groups that pool their open bins in one round
-OPEN_BINS = 64  # bins that a group gives up in a round: what bounds the exchange and the memory of a group
-SCHEMA = "doc_id long, piece int, start long, length long, ids binary, part long, bin long, offset long, open boolean"
+LOG = logging.getLogger(__name__)
+PIECES = "doc_id long, piece int, start long, length long, ids binary, part long, nth long"
+PACKED = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
+RANKS = 40  # bits of a piece's number among those of its length
+
+
+@dataclass(frozen=True)
+class Plan:
+    """Where each piece goes, by runs: pieces of one length, numbered on, that fill bins numbered on alike."""
+
+    keys: np.ndarray  # length and number of a run's first piece
+    first: np.ndarray  # bin of that piece
+    per: np.ndarray  # pieces of the run in a bin
+    offset: np.ndarray  # where the first piece of a bin lies
+    bins: int
+
+    def places(self, lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bin and offset of pieces, by length and by number among the pieces of that length."""
+        at = np.searchsorted(self.keys, (lengths << RANKS) + numbers, side="right") - 1
+        own = numbers - (self.keys[at] & ((1 << RANKS) - 1))
+        return self.first[at] + own // self.per[at], self.offset[at] + own % self.per[at] * lengths
+
+
+def best_fit_plan(count: np.ndarray, capacity: int) -> Plan:
+    """Best-fit decreasing of ``count[n]`` pieces of each length ``n`` (at least 1), by runs of like bins.
+
+    The fullest bin that a piece fits stays the fullest for the next piece of that
+    length while that fits as well, so each bin of a run takes as many as it can.
+    """
+    room: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # (first bin, bins) by the space they have left
+    some, bins = 0, 0  # bit r is set while room[r] has a run
+    runs: list[tuple[int, int, int, int]] = []
+    for size in np.flatnonzero(count)[::-1].tolist():
+        done, total = 0, int(count[size])
+        while done < total:
+            fits = some >> size
+            if fits:
+                left = size + (fits & -fits).bit_length() - 1
+                first, number = room[left].pop()
+                if not room[left]:
+                    some ^= 1 << left
+            else:
+                left, first, number = capacity, bins, -((done - total) // (capacity // size))
+                bins += number
+            per = left // size
+            runs.append(((size << RANKS) + done, first, per, capacity - left))
+            full = min(number, (total - done) // per)
+            done += full * per
+            over = total - done if full < number else 0  # fewer than per: the last bin gets them
+            done += over
+            split = [(full, left - per * size), (int(over > 0), left - over * size), (number - full - int(over > 0), left)]
+            for taken, space in split:
+                if taken:
+                    room[space].append((first, taken))
+                    some |= 1 << space
+                    first += taken
+    keys, first, per, offset = np.array(sorted(runs), np.int64).reshape(-1, 4).T
+    return Plan(keys, first, per, offset, bins)
 
 
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Bin and offset of each size, and how full each bin is; ties go by position."""
-    bins, offsets = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-    fill: list[int] = []
-    room: list[list[int]] = [[] for _ in range(capacity + 1)]  # bins by the space they have left
-    some = 0  # bit r is set while room[r] has a bin
-    for k in np.argsort(-sizes, kind="stable").tolist():
-        size = int(sizes[k])
-        fits = some >> size
-        if size and fits:
-            left = size + (fits & -fits).bit_length() - 1
-            b = room[left].pop()
-            if not room[left]:
-                some ^= 1 << left
-        else:
-            b, left = len(fill), capacity
-            fill.append(0)
-        bins[k], offsets[k] = b, fill[b]
-        fill[b] += size
-        if left > size:
-            room[left - size].append(b)
-            some |= 1 << (left - size)
-    return bins, offsets, fill
+    count = np.bincount(sizes, minlength=capacity + 1)
+    order = np.argsort(sizes, kind="stable")
+    numbers = np.empty(len(sizes), np.int64)
+    numbers[order] = np.arange(len(sizes)) - (np.cumsum(count) - count)[sizes[order]]
+    plan = best_fit_plan(count, capacity)
+    bins, offsets = plan.places(sizes, numbers)
+    return bins, offsets, np.bincount(bins, sizes, plan.bins).astype(np.int64).tolist()
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
     """Bins that any packing needs: the best of several dual-feasible functions."""
-    if not len(sizes):
-        return 0
-    count = np.bincount(sizes, minlength=capacity + 1)[: capacity + 1].astype(np.int64)
+    return _bound(np.bincount(sizes, minlength=capacity + 1)[: capacity + 1].astype(np.int64), capacity)
+
+
+def _bound(count: np.ndarray, capacity: int) -> int:
     x = np.arange(capacity + 1)
     total_above = np.cumsum(count[::-1])[::-1]  # sizes of at least x
     mass = np.cumsum(count * x)
@@ -77,81 +126,67 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
     return math.ceil(best - 1e-9)
 
 
-def _open_bins(sizes: np.ndarray, fill: list[int], capacity: int) -> set[int]:
-    """The emptiest bins, OPEN_BINS at most: all with 1 / 256 to spare, or with 1 / 32 if the bound certifies the count."""
-    spare = capacity // 32 if len(fill) == lower_bound(sizes, capacity) else capacity // 256
-    return {b for b in np.argsort(np.array(fill, np.int64), kind="stable")[:OPEN_BINS].tolist() if capacity - fill[b] > spare}
-
-
 def pieces_of(n_tokens: int, capacity: int) -> list[tuple[int, int]]:
     """``(start, length)`` of each piece: whole sequences, the first one shorter."""
     first = (n_tokens - 1) % capacity + 1
     return [(0, first), *((s, capacity) for s in range(first, n_tokens, capacity))]
 
 
-def _pack_task(path: str, capacity: int, end_id: int):
+def _cut_task(path: str, capacity: int, end_id: int):
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part = encoder(path), TaskContext.get().partitionId()
+        seen = [0] * (capacity + 1)  # pieces of each length so far
         rows: list[tuple] = []
         for batch in batches:
             for number, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
                 raw = own.raw(text) + end
                 for k, (start, length) in enumerate(pieces_of(len(raw) // 4, capacity)):
-                    rows.append((number, k, start, length, raw[4 * start : 4 * (start + length)]))
-        sizes = np.fromiter((r[3] for r in rows), np.int64, len(rows))
-        bins, offsets, fill = best_fit_decreasing(sizes, capacity)
-        given = _open_bins(sizes, fill, capacity)
-        for at in range(0, len(rows), 2000):
-            own_rows, b = rows[at : at + 2000], bins[at : at + 2000].tolist()
-            columns = list(zip(*own_rows))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(columns[0], pa.int64()),
-                    pa.array(columns[1], pa.int32()),
-                    pa.array(columns[2], pa.int64()),
-                    pa.array(columns[3], pa.int64()),
-                    pa.array(columns[4], pa.binary()),
-                    pa.array([part] * len(b), pa.int64()),
-                    pa.array(b, pa.int64()),
-                    pa.array(offsets[at : at + 2000]),
-                    pa.array([x in given for x in b], pa.bool_()),
-                ],
-                names=["doc_id", "piece", "start", "length", "ids", "part", "bin", "offset", "open"],
-            )
+                    rows.append((number, k, start, length, raw[4 * start : 4 * (start + length)], part, seen[length]))
+                    seen[length] += 1
+                    if len(rows) == 2000:
+                        yield _batch(rows)
+                        rows = []
+        if rows:
+            yield _batch(rows)
 
     return run
 
 
-def _repack(capacity: int, last: bool):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "piece", "ids"], ascending=[False, True, True, True], kind="stable")
-        sizes = group["length"].to_numpy(np.int64)
-        bins, offsets, fill = best_fit_decreasing(sizes, capacity)
-        given = set() if last else _open_bins(sizes, fill, capacity)
-        return group.assign(bin=bins, offset=offsets, open=[b in given for b in bins.tolist()])
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=["doc_id", "piece", "start", "length", "ids", "part", "nth"]
+    )
 
-    return run
+
+def _first_numbers(pieces: DataFrame, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many pieces of each length the tasks before a task have (a row per task), and all have."""
+    table = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    part, length, n = (table.column(c).to_numpy() for c in ("part", "length", "n"))
+    # Task ids of empty tasks have rows of zeros.
+    count = np.zeros((int(part.max(initial=-1)) + 1, capacity + 1), np.int64)
+    count[part, length] = n
+    upto = np.cumsum(count, axis=0)
+    return upto - count, count.sum(axis=0)
 
 
 def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids`` (little-endian 32-bit), ``sequence_id, offset``."""
-    first = pin(id_and_text(docs, id_col, text_col).mapInArrow(_pack_task(path, capacity, end_id), SCHEMA), "packed")
-    settled, groups, level = [(0, first.where("NOT open"))], first.agg(F.max("part")).first()[0], 0
-    moving = first.where("open")
-    groups = 0 if groups is None else int(groups) + 1
-    while groups > 0:
-        level, groups = level + 1, (groups - 1) // FAN_IN + 1
-        pooled = moving.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("long"))
-        moving = pin(pooled.groupBy("part").applyInPandas(_repack(capacity, groups == 1), SCHEMA), "repacked")
-        settled.append((level, moving.where("NOT open")))
-        moving = moving.where("open")
-        if groups == 1:
-            break
-    whole = None
-    for at, rows in settled:
-        number = F.lit(at).cast("long") * F.lit(1 << 58) + F.col("part") * F.lit(1 << 26) + F.col("bin")
-        own = rows.select("doc_id", "piece", "start", "length", "ids", number.alias("sequence_id"), "offset")
-        whole = own if whole is None else whole.unionByName(own)
-    return whole
+    pieces = pin(id_and_text(docs, id_col, text_col).mapInArrow(_cut_task(path, capacity, end_id), PIECES), "pieces")
+    before, count = _first_numbers(pieces, capacity)
+    plan = best_fit_plan(count, capacity)
+    LOG.info("%d sequences; any packing needs %d", plan.bins, _bound(count, capacity))
+    known = docs.sparkSession.sparkContext.broadcast((plan, before))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan, before = known.value
+        for batch in batches:
+            length, part, nth = (batch.column(c).to_numpy() for c in ("length", "part", "nth"))
+            bins, offsets = plan.places(length, before[part, length] + nth)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(bins, pa.int64()), pa.array(offsets, pa.int64())], names=[*batch.schema.names[:5], "sequence_id", "offset"]
+            )
+
+    return pieces.mapInArrow(place, PACKED)

@@ -154,6 +154,43 @@ def test_packing_over_many_parts_and_odd_texts(spark):
     assert packing.pack(frame(spark, []), tokenizer_file("byte_bpe_50k.json")).count() == 0
 
 
+def plain_best_fit(sizes, capacity):
+    """Bins of best-fit decreasing, by trying every bin for every size."""
+    left = []
+    for size in sorted(sizes, reverse=True):
+        fitting = [k for k, room in enumerate(left) if room >= size]
+        if fitting:
+            left[min(fitting, key=left.__getitem__)] -= size
+        else:
+            left.append(capacity - size)
+    return len(left)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 64), st.integers(1, 40)), max_size=12))
+def test_a_plan_by_lengths_is_best_fit_decreasing(runs):
+    sizes = np.array([size for size, n in runs for _ in range(n)], np.int64)
+    bins, offsets, fill = packing.best_fit_decreasing(sizes, 64)
+    assert len(fill) == plain_best_fit(sizes.tolist(), 64)
+    for b in range(len(fill)):
+        at = sorted((int(o), s) for x, o, s in zip(bins, offsets, sizes) if x == b)
+        assert fill[b] <= 64 and [o for o, _ in at] == [0, *np.cumsum([s for _, s in at])[:-1]]
+
+
+def test_partitions_of_different_lengths_pack_as_one_table(spark):
+    from pyspark.sql import functions as F
+
+    n_words = "CAST(IF(id < 600, 36 + id % 5, 18 + id % 3) AS INT)"
+    docs = spark.range(0, 1200, 1, 4).selectExpr("id AS doc_id", f"rtrim(repeat('a ', {n_words})) AS text")
+    assert docs.select(F.spark_partition_id()).distinct().count() == 4
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    sizes = [len(true_ids("byte_bpe_50k.json", t)) + 1 for t in texts.values()]
+    assert max(sizes[600:]) + min(sizes[:600]) <= 64 < 2 * min(sizes[:600])
+    packed = packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), capacity=64).withColumn("ids_crc32", F.crc32("ids"))
+    n, _ = check_packing(packed.collect(), texts, 64)
+    assert n == plain_best_fit(sizes, 64) == packing.lower_bound(np.array(sizes), 64)
+
+
 def test_op7(spark, sf_dir):
     texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     sizes = np.array([len(true_ids("byte_bpe_50k.json", t)) for t in texts])

@@ -34,7 +34,7 @@ PARAGRAPH = r"(?m)^[^\n]{1,32}[^\n ]*+|[^\n]{1,96}[^\n ]*+"
 FIXED = 4  # cells per table of the fingerprint itself
 ROUNDS = 15  # tables that are peeled one after the other in an attempt
 ATTEMPTS = 6  # sizes tried; each doubles the last
-CELLS = 4096  # stretches of ids that are counted before ids are cut into groups
+SAMPLED = 10  # rows sampled for each group of consecutive rows, to cut the groups evenly
 
 
 def paragraph_digests(text: Column) -> Column:
@@ -53,41 +53,49 @@ def sketch_text(digests: Column) -> Column:
     return F.lower(F.concat(*[x for t in range(3) for c in range(FIXED) for x in cell(t, c)]))
 
 
+def _group(key: Column, tie: Column, bounds: list[tuple[int, int]]) -> Column:
+    """How many of the sorted ``bounds`` are at most ``(key, tie)``, by bisection."""
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    if not steps:
+        return F.lit(0)
+    keys, ties = (F.split(F.lit(",".join(str(b[k]) for b in bounds)), ",").cast("array<bigint>") for k in range(2))
+
+    def further(at: Column, step: Column) -> Column:
+        place = at + step - 1  # past the end there is null, which is no bound
+        return at + F.when((F.get(keys, place) < key) | ((F.get(keys, place) == key) & (F.get(ties, place) <= tie)), step).otherwise(0)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+
+
 def _next_texts(rows: DataFrame) -> DataFrame:
     """``rows`` (``doc_id, text``) with the text that follows by descending id (after the last, the first).
 
-    Ids are cut into groups of consecutive ids from a count over at most CELLS
-    stretches of them.  The row with a group's largest id goes to the group above
-    as well, as the one that follows its last; so texts are dealt out once.
+    Rows are cut into groups of consecutive rows at keys (id, then hash of the text) of
+    sampled rows, so that groups are even however ids are spaced, tied or null; only rows
+    that are equal in both stay together.  The first row of a group goes to the group
+    before as well, as the one that follows its last; so texts are dealt out once.
     """
     lowest = -(1 << 63)
-    keyed = rows.withColumn("at", F.coalesce("doc_id", F.lit(lowest)))
-    real = keyed.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    keyed = rows.withColumn("key", F.bitwise_not(F.coalesce("doc_id", F.lit(lowest)))).withColumn("tie", F.xxhash64("text"))
+    real = keyed.agg(F.min(F.struct("key", "tie")).alias("first"), F.count(F.lit(1)).alias("n")).first()
     if not real["n"]:
         return rows.select("doc_id", "text", F.lit(0).alias("part"), F.lit(0).cast("long").alias("row"), F.col("text").alias("next_text")).limit(0)
-    first, span = real["a"] or 0, (real["b"] or 0) - (real["a"] or 0)
-    width = span // CELLS + 1
-    cell = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.floor((F.col("doc_id") - first) / width) + 1).cast("int")
-    counts = dict(keyed.groupBy(cell.alias("cell")).count().collect())
-    aim = max(1, real["n"] // (4 * shuffle_partitions(rows.sparkSession)))
-    group_of, group, held = [], 0, 0
-    for k in range(CELLS + 2):
-        group_of.append(group)
-        held += counts.get(k, 0)
-        if held >= aim:
-            group, held = group + 1, 0
-    if not held and group:  # nothing came after the last full group
-        group_of, group = [min(g, group - 1) for g in group_of], group - 1
-    n_groups = group + 1
-    numbered = keyed.withColumn("own", F.element_at(F.array(*[F.lit(g) for g in group_of]), cell + 1))
-    # One row per group, of which there are at most CELLS + 2: a bounded broadcast.
-    tops = numbered.groupBy(F.col("own").alias("of")).agg(F.max("at").alias("top"))
-    marked = numbered.join(F.broadcast(tops), F.col("own") == F.col("of"))
-    above = F.pmod(F.col("own") + 1, F.lit(n_groups))
-    places = F.when(F.col("at") == F.col("top"), F.array(F.struct(F.col("own").alias("part"), F.lit(0).alias("guest")), F.struct(above.alias("part"), F.lit(1).alias("guest"))))
-    placed = marked.select("doc_id", "text", "at", F.explode(F.coalesce(places, F.array(F.struct(F.col("own").alias("part"), F.lit(0).alias("guest"))))).alias("p"))
-    order = Window.partitionBy("part").orderBy("guest", F.desc("at"), F.xxhash64("text"))
-    led = placed.select("doc_id", "text", "at", "p.part", "p.guest").select(
+    n_groups = min(real["n"], 4 * shuffle_partitions(rows.sparkSession))
+    # SAMPLED rows of two numbers for each group reach the driver.
+    share = SAMPLED * n_groups / real["n"]
+    sampled = sorted(tuple(r) for r in (keyed.sample(share, 1) if share < 1 else keyed).select("key", "tie").collect())
+    first = tuple(real["first"])
+    bounds = sorted({sampled[len(sampled) * k // n_groups] for k in range(1, n_groups) if sampled} - {first})
+    n_groups = len(bounds) + 1
+    numbered = keyed.withColumn("own", _group(F.col("key"), F.col("tie"), bounds))
+    # A bound is the key of a row, so it is the first key of its group.
+    tops = [F.split(F.lit(",".join(str(b[k]) for b in [first, *bounds])), ",").cast("array<bigint>") for k in range(2)]
+    is_top = (F.get(tops[0], F.col("own")) == F.col("key")) & (F.get(tops[1], F.col("own")) == F.col("tie"))
+    own, before = F.struct(F.col("own").alias("part"), F.lit(0).alias("guest")), F.pmod(F.col("own") - 1, F.lit(n_groups))
+    places = F.when(is_top, F.array(own, F.struct(before.alias("part"), F.lit(1).alias("guest")))).otherwise(F.array(own))
+    placed = numbered.select("doc_id", "text", "key", "tie", F.explode(places).alias("p"))
+    order = Window.partitionBy("part").orderBy("guest", "key", "tie")
+    led = placed.select("doc_id", "text", "key", "tie", "p.part", "p.guest").select(
         "doc_id", "text", "part", "guest", F.row_number().over(order).cast("long").alias("row"), F.lead("text").over(order).alias("next_text")
     )
     return led.where("guest = 0").drop("guest")

@@ -74,6 +74,23 @@ def test_repeated_and_null_ids(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"], r["near_next"]) for r in rows) == [(False, 1, 0.0), (False, 1, 1.0), (False, 2, 0.0), (True, None, 0.0)]
 
 
+@pytest.mark.parametrize(
+    "number", ["IF(id = 1999, 1000000000000, id)", "CAST(NULL AS LONG)", "IF(id < 100, id * id, 7)", "IF(id % 2 = 0, NULL, 9223372036854775807 - id * id * id)"]
+)
+def test_groups_are_even_and_in_order_however_ids_lie(spark, number):
+    from pyspark.sql import Window
+
+    docs = spark.range(0, 2000, 1, 5).selectExpr(f"{number} AS doc_id", "concat('text ', id) AS text")
+    got = fingerprints._next_texts(docs).select("part", "doc_id", "text", "next_text").collect()
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    ordered = [r["text"] for r in docs.withColumn("k", F.row_number().over(order)).orderBy("k").collect()]
+    assert {(r["text"], r["next_text"]) for r in got} == set(zip(ordered, [*ordered[1:], ordered[0]])) and len(got) == 2000
+    sizes = {}
+    for r in got:
+        sizes[r["part"]] = sizes.get(r["part"], 0) + 1
+    assert max(sizes.values()) < 4 * 2000 / (4 * fingerprints.shuffle_partitions(spark))
+
+
 def test_a_failed_size_is_tried_again_larger(spark, monkeypatch):
     texts = [*prose(12, words=200)]
     monkeypatch.setattr(fingerprints, "ROUNDS", 2)  # too few to peel much at the first sizes

@@ -8,7 +8,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe_lexicon, chat_format, exact_dedup, fingerprints, packing, simhash, substring_dedup, token_counts, token_files, toxicity
+from plumbline.llm import (
+    alignment,
+    bpe_lexicon,
+    chat_format,
+    exact_dedup,
+    fingerprints,
+    packing,
+    simhash,
+    substring_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+    whitening,
+)
 from plumbline.llm.common import id_and_text, table
 from plumbline.session import pin, scratch_path
 
@@ -127,6 +140,15 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_simhash_dedup": LlmQuery(op1_simhash_dedup),
     "op2_bpe_lexicon": LlmQuery(op2_bpe_lexicon),
@@ -138,4 +160,6 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_exact_dedup": LlmQuery(op8_exact_dedup, OP8_SQL),
     "op9_best_fit_packing": LlmQuery(op9_best_fit_packing),
     "op10_chat_formatting": LlmQuery(op10_chat_formatting, OP10_SQL),
+    "op11_embedding_whitening": LlmQuery(op11_embedding_whitening),
+    "op13_tokenizer_alignment": LlmQuery(op13_tokenizer_alignment),
 }

@@ -15,6 +15,7 @@ from plumbline.llm import (
     exact_dedup,
     fingerprints,
     packing,
+    quality,
     simhash,
     substring_dedup,
     token_counts,
@@ -145,6 +146,13 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = quality.with_statistics(table(spark, sf_dir, "documents"))
+    model = quality.fit(stats, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return quality.score(stats, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -161,5 +169,6 @@ QUERIES: dict[str, LlmQuery] = {
     "op9_best_fit_packing": LlmQuery(op9_best_fit_packing),
     "op10_chat_formatting": LlmQuery(op10_chat_formatting, OP10_SQL),
     "op11_embedding_whitening": LlmQuery(op11_embedding_whitening),
+    "op12_quality_classifier": LlmQuery(op12_quality_classifier),
     "op13_tokenizer_alignment": LlmQuery(op13_tokenizer_alignment),
 }

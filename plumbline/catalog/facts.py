@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from plumbline.functions.text import INDICATOR_STOP_WORDS
 from plumbline.models import clustering, estimators, recommend, tuning
 from plumbline.models.metrics import assignment_sse
 from plumbline.operators.columns import threshold_label
-from plumbline.operators.splits import key_holdout
+from plumbline.operators.splits import holdout_bucket, key_holdout
 from plumbline.operators.topk import explode_recommendations
 from plumbline.plans import images, recommenders, tabular
 from plumbline.session import pin
@@ -261,9 +262,56 @@ def price_regression_facts(spark, sf_dir):
     return fit_facts(price_report(spark, sf_dir).metrics)
 
 
-@query("C2 V1", grid_sql(tuning.PRICE_GRID))
+# Two standardised numbers have a closed form: of the nine patterns of signs, the one that meets the conditions of the minimum.
+FIT_SQL = src.bucket_sql("l_orderkey", "l_linenumber")
+
+
+def path_sql(frame: str, a: str, b: str, label: str, grid, fit: str) -> str:
+    return f"""WITH t AS (SELECT {a} AS a, {b} AS b, {label} AS y, {fit} AS fit FROM ({frame})),
+      m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, stddev_pop(a) AS sa, stddev_pop(b) AS sb, stddev_pop(y) AS sy,
+                   corr(a, b) AS r, corr(a, y) AS ca, corr(b, y) AS cb FROM t WHERE fit),
+      g AS (SELECT CAST(reg AS DOUBLE) AS reg, CAST(enp AS DOUBLE) AS enp, enp * reg / sy AS l1, (1 - enp) * reg / sy AS l2, m.*
+            FROM (SELECT unnest({grid[0]}) AS reg), (SELECT unnest({grid[1]}) AS enp), m),
+      s AS (SELECT * FROM g, (SELECT unnest([-1, 0, 1]) AS u), (SELECT unnest([-1, 0, 1]) AS v)),
+      w AS (SELECT *, CASE WHEN u = 0 THEN 0 WHEN v = 0 THEN (ca - l1 * u) / (1 + l2) ELSE ((1 + l2) * (ca - l1 * u) - r * (cb - l1 * v)) / ((1 + l2) ** 2 - r * r) END AS wa,
+                      CASE WHEN v = 0 THEN 0 WHEN u = 0 THEN (cb - l1 * v) / (1 + l2) ELSE ((1 + l2) * (cb - l1 * v) - r * (ca - l1 * u)) / ((1 + l2) ** 2 - r * r) END AS wb FROM s),
+      k AS (SELECT reg, enp, wa * sy / sa AS xa, wb * sy / sb AS xb, my - wa * sy / sa * ma - wb * sy / sb * mb AS intercept FROM w
+            WHERE sign(wa) = u AND sign(wb) = v AND (u <> 0 OR abs(ca - r * wb) <= l1) AND (v <> 0 OR abs(cb - r * wa) <= l1)),
+      e AS (SELECT reg, enp, 1 - sum((y - intercept - xa * a - xb * b) ** 2) / (count(*) * var_pop(y)) AS metric FROM t, k WHERE NOT fit GROUP BY reg, enp)
+      SELECT reg, enp, round(intercept, 6) AS intercept, round(xa, 6) AS x0, round(xb, 6) AS x1, round(metric, 6) AS metric,
+             metric = max(metric) OVER () AS best FROM k JOIN e USING (reg, enp)"""
+
+
+def path_facts(spark, frame: DataFrame, numbers: list[str], label: str, grid, key: list[str], pct: int) -> DataFrame:
+    """The tuned path of two numbers, row by row as SQL solves it, and which point the search calls best."""
+    rows = frame.select(*numbers, F.col(label).alias("label"), (holdout_bucket(frame, key) < pct).alias("fits"))
+    points = pin(assemble(rows, numbers).select("features", "label", "fits"), "path-points")
+    est = LinearRegression()
+    search = tuning.tuner(est, tuning.param_grid(est, *grid))
+    pairs = [(reg, enp) for reg in grid[0] for enp in grid[1]]
+    fits, metrics, _ = tuning.linear_path(points, pairs, est, "r2", F.col("fits"))
+    tuned = tuning.tune_linear(points, search, F.col("fits"))
+    best = tuning.validation_scores(points, tuned).select("reg", "enp", "best")
+    weights = [F.round(F.col("weights")[k], 6).alias(f"x{k}") for k in range(2)]
+    path = tuning.path_table(spark, fits, metrics).select("reg", "enp", F.round("intercept", 6).alias("intercept"), *weights, F.round("metric", 6).alias("metric"))
+    return path.join(best, ["reg", "enp"])
+
+
+@query("C2 V2 V3 V4 M1", path_sql(src.HOUSES_SQL, "quantity", "discount * 100", "price / 20000", tuning.PRICE_GRID, f"{FIT_SQL} < 75"))
 def price_grid_facts(spark, sf_dir):
-    return grid_facts(price_report(spark, sf_dir).grid_scores)
+    """Coefficients, validation r2 and choice of every point of the price grid."""
+    df = src.houses(spark, sf_dir).withColumns({"off": F.col("discount") * 100, "cost": F.col("price") / 20000})
+    return path_facts(spark, df, ["quantity", "off"], "cost", tuning.PRICE_GRID, ["l_orderkey", "l_linenumber"], 75)
+
+
+@query(
+    "C4 V2 V3 V4 M1",
+    path_sql(f"SELECT * FROM ({src.ACTIVITY_SQL}) WHERE NOT is_cancelled", "age", "coalesce(all_time_views, 0)", "coalesce(next_month_views, 0)", tuning.ACTIVITY_GRID, f"{src.bucket_sql('c_custkey')} < 90"),
+)
+def activity_grid_facts(spark, sf_dir):
+    """The same of the activity grid, whose stronger penalties drop numbers."""
+    df = src.activity(spark, sf_dir).where("NOT is_cancelled").na.fill(0, ["all_time_views", "next_month_views"])
+    return path_facts(spark, df, ["age", "all_time_views"], "next_month_views", tuning.ACTIVITY_GRID, ["c_custkey"], 90)
 
 
 VIEWS = ["firstSub", "last_month_views", "all_time_views", "next_month_views"]

@@ -8,7 +8,7 @@ from plumbline.catalog import inputs as src
 from plumbline.catalog.images import GRAY_SQL
 from plumbline.catalog.models import NB_SCORED_SQL, NB_TRAINING, bayes_sql
 from plumbline.catalog.registry import query
-from plumbline.catalog.relational import VIEWS, union_sql
+from plumbline.catalog.relational import VIEWS
 from plumbline.functions.image_ops import image_pixels
 from plumbline.models.estimators import fit_naive_bayes
 from plumbline.plans import images, recommenders, tabular
@@ -18,28 +18,46 @@ from plumbline.sources.pixel_lines import labeled_points
 SCREENED = ["price", "quantity", "discount", "tax", "size", "retail"]
 
 
-PAIRS_SQL = union_sql(
-    [
-        f"SELECT '{a}' AS \"column\", '{b}' AS other, corr({a}, {b}) AS correlation FROM t"
-        for a in SCREENED
-        for b in SCREENED
-    ],
-    src.HOUSES_SQL,
-)
-STRONG_SQL = "(SELECT \"column\" FROM p WHERE other = 'price' AND abs(correlation) >= 0.1)"
+# All correlations in one row of one pass, then a row per pair.
+PAIRS_SQL = f"""WITH t AS ({src.HOUSES_SQL}),
+  one AS (SELECT [{", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': corr({a}, {b})}}" for a in SCREENED for b in SCREENED)}] AS pairs FROM t),
+  p AS (SELECT u.a AS "column", u.b AS other, u.r AS correlation FROM (SELECT unnest(pairs) AS u FROM one)),
+  strong AS (SELECT "column" FROM p WHERE other = 'price' AND abs(correlation) >= 0.1)"""
+NOT_RATED = ["l_orderkey", "l_linenumber", "returnflag", "linestatus", "brand"]
 
 
 @query(
     "C1 A8",
-    f"""WITH p AS (SELECT * FROM ({PAIRS_SQL})) SELECT "column", other, round(correlation, 6) AS correlation FROM p
-        WHERE "column" IN {STRONG_SQL} AND other IN {STRONG_SQL}""",
+    f"""{PAIRS_SQL} SELECT "column", other, round(correlation, 6) AS correlation FROM p
+        WHERE "column" IN (FROM strong) AND other IN (FROM strong)""",
 )
 def screen_features(spark, sf_dir):
-    ids = ["l_orderkey", "l_linenumber", "returnflag", "linestatus", "brand"]
-    screening = tabular.screen_features(src.houses(spark, sf_dir), "price", drop=ids)
+    screening = tabular.screen_features(src.houses(spark, sf_dir), "price", drop=NOT_RATED)
     return screening.matrix.withColumn("correlation", F.round("correlation", 6))
 
 
+@query("C1 A6", f"""{PAIRS_SQL} SELECT "column", round(correlation, 6) AS correlation FROM p WHERE other = 'price'""")
+def screen_correlations(spark, sf_dir):
+    screening = tabular.screen_features(src.houses(spark, sf_dir), "price", drop=NOT_RATED)
+    return screening.correlations.withColumn("correlation", F.round("correlation", 6))
+
+
+STATS_SQL = ", ".join(
+    f"{{'c': '{c}', 's': '{stat}', 'v': CAST({fn}({c}) AS DOUBLE)}}"
+    for c in ["l_orderkey", "l_linenumber", *SCREENED]
+    for stat, fn in [("count", "count"), ("mean", "avg"), ("stddev", "stddev"), ("min", "min"), ("max", "max")]
+)
+
+
+@query(
+    "C1 A5",
+    f"""SELECT u.c AS "column", u.s AS stat, round(u.v, 4) AS value FROM (SELECT unnest([{STATS_SQL}]) AS u FROM ({src.HOUSES_SQL}))""",
+)
+def screen_description(spark, sf_dir):
+    screening = tabular.screen_features(src.houses(spark, sf_dir), "price", drop=NOT_RATED)
+    return screening.description.withColumn("value", F.round("value", 4))
+
+
 @query("C2")
 def price_regression(spark, sf_dir):
     report = tabular.price_regression(

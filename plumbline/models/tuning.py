@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.models import gram
 from plumbline.models.estimators import SEED
 from plumbline.models.metrics import accuracy
 from plumbline.session import fits_at_once, run_together
@@ -61,9 +65,84 @@ def tune(
 ) -> TrainValidationSplitModel:
     """Score every grid point on one validation part and refit the best on all rows.
 
-    ``df`` should be a scan or a pinned frame: it is read for every grid point.
+    Linear regression of up to 4,096 features takes one scan for the whole grid, see
+    ``tune_linear``.  Other estimators read ``df``, which should be a scan or a pinned
+    frame, for every grid point.
     """
-    return tuner(est, grid, evaluator, ratio, seed, parallelism or fits_at_once(df)).fit(df)
+    search = tuner(est, grid, evaluator, ratio, seed, parallelism or fits_at_once(df))
+    if _from_products(df, search):
+        return tune_linear(df, search)
+    return search.fit(df)
+
+
+def _from_products(df: DataFrame, search: TrainValidationSplit) -> bool:
+    """Whether products of the columns determine every fit and metric of a search."""
+    est, evaluator = search.getEstimator(), search.getEvaluator()
+    if type(est) is not LinearRegression or type(evaluator) is not RegressionEvaluator or evaluator.getMetricName() not in gram.METRICS:
+        return False
+    plain = est.getFitIntercept() and est.getStandardization() and est.getLoss() == "squaredError" and not est.isSet(est.weightCol)
+    plain = plain and not evaluator.isSet(evaluator.weightCol) and not evaluator.getThroughOrigin() and evaluator.getLabelCol() == est.getLabelCol()
+    penalties = all({p.name for p in point} <= {"regParam", "elasticNetParam"} for point in search.getEstimatorParamMaps())
+    return plain and penalties and _width(df, est.getFeaturesCol()) <= gram.MAX_FEATURES
+
+
+def _width(df: DataFrame, features: str) -> int:
+    """Features of a vector column, from its metadata or else its first row."""
+    known = df.schema[features].metadata.get("ml_attr", {}).get("num_attrs")
+    if known:
+        return known
+    first = df.select(features).first()
+    return first[0].size if first else gram.MAX_FEATURES + 1
+
+
+def tune_linear(df: DataFrame, search: TrainValidationSplit, split: Column | None = None) -> TrainValidationSplitModel:
+    """The search over linear models from one pass over ``df``.
+
+    ``split`` says which rows train; by default they are those that the search itself
+    would draw.  Coefficients are those Spark's solver converges to.
+    """
+    est, evaluator = search.getEstimator(), search.getEvaluator()
+    points = [_penalty(est, point) for point in search.getEstimatorParamMaps()]
+    fits, metrics, whole = linear_path(df, points, est, evaluator.getMetricName(), _drawn(search) if split is None else split)
+    pick = max if evaluator.isLargerBetter() else min
+    best = points[metrics.index(pick(metrics))]
+    model = _linear_model(df.sparkSession, est, gram.elastic_net_path(whole, [best])[0])
+    return search._copyValues(TrainValidationSplitModel(model, metrics, None))
+
+
+def _drawn(search: TrainValidationSplit) -> Column:
+    return F.rand(search.getSeed()) < search.getTrainRatio()
+
+
+def _penalty(est: LinearRegression, point: Mapping) -> tuple[float, float]:
+    values = {p.name: float(v) for p, v in point.items()}
+    return values.get("regParam", est.getRegParam()), values.get("elasticNetParam", est.getElasticNetParam())
+
+
+def linear_path(
+    df: DataFrame, points: Sequence[tuple[float, float]], est: LinearRegression, metric: str, split: Column
+) -> tuple[list[gram.Fit], list[float], gram.Gram]:
+    """Fits on the rows where ``split`` holds, their metric on the others, and the products of all rows."""
+    found = gram.grams(df, F.coalesce(split, F.lit(False)).cast("int"), est.getFeaturesCol(), est.getLabelCol())
+    if len(found) < 2:
+        raise ValueError("one part of the validation split has no rows")
+    fits = gram.elastic_net_path(found[1], points)
+    return fits, [gram.score(found[0], fit, metric) for fit in fits], found[1] + found[0]
+
+
+def path_table(spark: SparkSession, fits: Sequence[gram.Fit], metrics: Sequence[float]) -> DataFrame:
+    """A path as rows ``(point, reg, enp, intercept, weights, metric)``."""
+    rows = [(i, f.reg, f.enp, f.intercept, f.weights.tolist(), float(m)) for i, (f, m) in enumerate(zip(fits, metrics))]
+    return spark.createDataFrame(rows, "point int, reg double, enp double, intercept double, weights array<double>, metric double")
+
+
+def _linear_model(spark: SparkSession, est: LinearRegression, fit: gram.Fit) -> LinearRegressionModel:
+    """Spark's own model with the given coefficients: it scores, saves and loads as a fitted one does."""
+    made = spark._jvm.org.apache.spark.ml.regression.LinearRegressionModel(
+        est.uid, _py2java(spark.sparkContext, Vectors.dense(fit.weights)), fit.intercept
+    )
+    model = est._copyValues(LinearRegressionModel(made))
+    return model._set(regParam=fit.reg, elasticNetParam=fit.enp)
 
 
 def validation_scores(df: DataFrame, tuned: TrainValidationSplitModel) -> DataFrame:

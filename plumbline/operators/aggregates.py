@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from plumbline.operators.moments import correlation_rows, description_rows, numeric_columns, states_of
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -46,48 +47,10 @@ def describe_table(df: DataFrame) -> DataFrame:
     return df.describe()
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-
-
 def describe_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """The same statistics as rows ``(column, stat, value)`` for numeric columns.
-
-    The values are put below each other before the aggregation, which keeps its
-    buffer small, and so within generated code, for tables of any width.
-    """
+    """The same statistics as rows ``(column, stat, value)`` for numeric columns, from mergeable moments."""
     cols = list(cols or numeric_columns(df))
-    values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols]
-    stats = {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max}
-    wide = (
-        df.select(F.inline_outer(F.array(*values)))
-        .groupBy("column")
-        .agg(*[fn("_v").cast("double").alias(stat) for stat, fn in stats.items()])
-    )
-    rows = [F.struct(F.lit(stat).alias("stat"), F.col(stat).alias("value")) for stat in stats]
-    return wide.select("column", F.inline(F.array(*rows)))
-
-
-def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], null_as_zero: bool) -> DataFrame:
-    """``(column, other, correlation)`` of the given pairs from one pass over the rows.
-
-    One aggregate per pair in a single row of buffers is too wide for generated
-    code; one short row per pair is not, and is combined before the shuffle.
-    """
-
-    def number(col: str) -> Column:
-        value = F.col(col).cast("double")
-        return F.coalesce(value, F.lit(0.0)) if null_as_zero else value
-
-    rows = [
-        F.struct(F.lit(i).alias("_pair"), number(a).alias("_x"), number(b).alias("_y"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    found = (
-        df.select(F.inline_outer(F.array(*rows))).groupBy("_pair").agg(F.corr("_x", "_y").alias("correlation"))
-    )
-    name = lambda side: F.get(F.array(*[F.lit(p[side]) for p in pairs]), F.col("_pair"))
-    return found.select(name(0).alias("column"), name(1).alias("other"), "correlation")
+    return description_rows(states_of(df, cols, pairs=False), cols)
 
 
 def label_correlations(
@@ -97,23 +60,18 @@ def label_correlations(
 
     A pair with a null in it is left out; ``null_as_zero`` counts the null as 0.
     """
-    pairs = [(c, label) for c in (cols or numeric_columns(df))]
-    return _pair_correlations(df, pairs, null_as_zero).select("column", "correlation")
+    cols = list(cols or numeric_columns(df))
+    states = states_of(df, cols, [label], null_as_zero=null_as_zero)
+    return correlation_rows(states, cols, [label]).select("column", "correlation")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, null_as_zero: bool = False) -> DataFrame:
     """Correlation of every pair of columns as rows ``(column, other, correlation)``.
 
-    Each unordered pair is computed once and given both ways round.
+    Each pair of column blocks is computed once and given both ways round.
     """
     cols = list(cols or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    half = _pair_correlations(df, pairs, null_as_zero)
-    way = lambda a, b: F.struct(F.col(a).alias("column"), F.col(b).alias("other"), "correlation")
-    both = F.when(F.col("column") == F.col("other"), F.array(way("column", "other"))).otherwise(
-        F.array(way("column", "other"), way("other", "column"))
-    )
-    return half.select(F.inline(both))
+    return correlation_rows(states_of(df, cols, null_as_zero=null_as_zero), cols)
 
 
 def low_correlation_columns(

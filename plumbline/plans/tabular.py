@@ -34,14 +34,7 @@ from plumbline.models.tuning import (
     tune,
     validation_scores,
 )
-from plumbline.operators.aggregates import (
-    confusion_counts,
-    correlation_matrix,
-    describe_long,
-    label_correlations,
-    low_correlation_columns,
-    numeric_columns,
-)
+from plumbline.operators.aggregates import confusion_counts
 from plumbline.operators.columns import (
     drop_columns,
     filter_expr,
@@ -50,6 +43,7 @@ from plumbline.operators.columns import (
     require_columns,
     threshold_label,
 )
+from plumbline.operators.moments import table_moments
 from plumbline.operators.splits import holdout_bucket
 from plumbline.session import Report, owns_pins, pin
 from plumbline.sources.tables import write_csv_table
@@ -126,14 +120,19 @@ def screen_features(
     """Describe a table, rate its columns against the label, and correlate those that stay.
 
     ``weak`` names the columns to leave out; without it the ones under
-    ``threshold`` go.
+    ``threshold`` go.  Description, ratings and matrix come from one scan.
     """
-    kept = drop_columns(df, drop)
-    correlations = label_correlations(kept, label)
+    moments = table_moments(df)
+    rated = [c for c in moments.cols if c not in drop]
     if weak is None:
-        weak = low_correlation_columns(kept, label, threshold)
-    kept = drop_columns(kept, weak)
-    return Screening(describe_long(df), correlations, kept.columns, correlation_matrix(kept, numeric_columns(kept)))
+        weak = moments.weaker_than(label, threshold, [c for c in rated if c != label])
+    kept = drop_columns(df, [*drop, *weak])
+    return Screening(
+        moments.description(),
+        moments.correlations_with(label, rated),
+        kept.columns,
+        moments.correlations([c for c in rated if c not in weak]),
+    )
 
 
 @owns_pins

@@ -18,7 +18,7 @@ from plumbline.catalog.models import cluster_points, search_model, trial_points,
 from plumbline.catalog.registry import query
 from plumbline.functions.encoding import assemble
 from plumbline.functions.text import INDICATOR_STOP_WORDS
-from plumbline.models import clustering, estimators, recommend, tuning
+from plumbline.models import clustering, estimators, inner_products, recommend, tuning
 from plumbline.models.metrics import assignment_sse
 from plumbline.operators.columns import threshold_label
 from plumbline.operators.splits import holdout_bucket, key_holdout
@@ -180,6 +180,27 @@ def top_items_of_chosen_users(spark, sf_dir):
     return list_facts(model, explode_recommendations(recommend.top_items_for(model, chosen, 5), "userId"), "userId", "indicatorId", True)
 
 
+PRODUCTS_SQL = """WITH q AS (SELECT s_suppkey, s_nationkey - 12 AS a, floor(s_acctbal / 100) AS b FROM supplier),
+  t AS (SELECT p_partkey, p_size - 25 AS a, floor(p_retailprice) - 1400 AS b FROM part),
+  r AS (SELECT s_suppkey, p_partkey, CAST(q.a * t.a + q.b * t.b AS DOUBLE) AS product,
+               row_number() OVER (PARTITION BY s_suppkey ORDER BY q.a * t.a + q.b * t.b DESC, p_partkey) AS rank FROM q, t)
+  SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, CAST(rank AS INTEGER) AS rank, CAST(p_partkey AS BIGINT) AS p_partkey, product, true AS most_were_skipped
+  FROM r WHERE rank <= 5"""
+
+
+@query("L2 L3", PRODUCTS_SQL)
+def largest_products(spark, sf_dir):
+    """The five parts of the largest products for each supplier, ties by key, with less than half of the parts scored."""
+    supplier, part = (src.table(spark, sf_dir, t) for t in ("supplier", "part"))
+    queries = supplier.select(F.col("s_suppkey").alias("id"), F.array(F.col("s_nationkey") - 12, F.floor(F.col("s_acctbal") / 100)).alias("vector"))
+    targets = part.select(F.col("p_partkey").alias("id"), F.array(F.col("p_size") - 25, F.floor("p_retailprice") - 1400).alias("vector"))
+    found = inner_products.largest_products(queries, targets, 5).withColumn("few", F.col("scored") * 2 < part.count())
+    rows = found.select("id", "few", F.posexplode(F.arrays_zip("ids", "products")).alias("at", "pair"))
+    return rows.select(
+        F.col("id").alias("s_suppkey"), (F.col("at") + 1).alias("rank"), F.col("pair.ids").alias("p_partkey"), F.col("pair.products").alias("product"), F.col("few").alias("most_were_skipped")
+    )
+
+
 @query("M11 M12", f'SELECT count(*) AS n, true AS closer_than_the_mean FROM ({src.SEARCHES_SQL})')
 def als_against_the_mean(spark, sf_dir):
     model, ratings = search_model(spark, sf_dir)

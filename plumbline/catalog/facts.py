@@ -7,8 +7,9 @@ output; any of them can fail.
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from plumbline.catalog.registry import query
 from plumbline.functions.encoding import assemble
 from plumbline.functions.text import INDICATOR_STOP_WORDS
 from plumbline.models import clustering, estimators, inner_products, recommend, tuning
-from plumbline.models.metrics import assignment_sse
+from plumbline.models.metrics import silhouette_score
 from plumbline.operators.columns import threshold_label
 from plumbline.operators.splits import holdout_bucket, key_holdout
 from plumbline.operators.topk import explode_recommendations
@@ -108,29 +109,65 @@ def centers_of_separated_groups(spark, sf_dir):
     return clustering.cluster_centers(points, model).join(sizes, "cluster").select("rows", F.round(F.col("center")[0], 6).alias("center"))
 
 
-SWEEP_SQL = f"""SELECT CAST(k AS INTEGER) AS k, CAST(k AS INTEGER) AS clusters, n AS rows, true AS closer_than_one, true AS shape_is_sound
+SWEEP_SQL = f"""SELECT CAST(k AS INTEGER) AS k, CAST(k AS INTEGER) AS clusters, n AS rows, true AS spread_agrees, true AS shape_agrees, true AS centers_are_means
   FROM (SELECT count(*) AS n FROM ({src.HOUSES_SQL})), (SELECT unnest(range(4, 10)) AS k)"""
 
 
-def sweep_facts(points: DataFrame, sweep: clustering.KMeansSweep) -> DataFrame:
-    """Per k: clusters, rows in them, whether the spread is below that of one cluster, and whether the silhouette lies in (0, 1]."""
-    one = assignment_sse(points.withColumn("prediction", F.lit(0))).scalar()
+def sweep_facts(spark, points: DataFrame, sweep: clustering.KMeansSweep) -> DataFrame:
+    """Per k: clusters, rows in them, and whether spread, silhouette and centres are those of the assigned points themselves."""
+    found = []
+    for k, model in sweep.models.items():
+        scored = model.transform(points)
+        centers = sweep.centers.where(F.col("k") == k).select(F.col("cluster").alias("prediction"), "center")
+        apart = F.zip_with(vector_to_array("features"), "center", lambda x, c: (x - c) * (x - c))
+        spread = scored.join(centers, "prediction").agg(F.sum(F.aggregate(apart, F.lit(0.0), lambda s, x: s + x))).first()[0]
+        mean = scored.groupBy("prediction").agg(Summarizer.mean(F.col("features")).alias("mean"))
+        # A centre stops within the fit's tolerance of the mean of its points.
+        far = F.zip_with("center", vector_to_array("mean"), lambda a, b: F.abs(a - b) / (1 + F.abs(b)))
+        off = centers.join(mean, "prediction").agg(F.max(F.aggregate(far, F.lit(0.0), lambda s, x: s + x)).alias("off"))
+        found.append(off.select(F.lit(k).alias("k"), F.lit(spread).alias("spread"), F.lit(silhouette_score(scored)).alias("shape"), "off"))
+    facts = found[0]
+    for more in found[1:]:
+        facts = facts.unionByName(more)
     sizes = sweep.sizes.groupBy("k").agg(F.sum("count").alias("rows"))
-    sound = (F.col("silhouette") > 0) & (F.col("silhouette") <= 1)
-    return sweep.scores.join(sizes, "k").select("k", "clusters", "rows", (F.col("sse") < one).alias("closer_than_one"), sound.alias("shape_is_sound"))
+    joined = sweep.scores.join(sizes, "k").join(facts, "k")
+    return joined.select(
+        "k", "clusters", "rows",
+        (F.abs(F.col("sse") - F.col("spread")) <= 1e-9 * F.col("spread")).alias("spread_agrees"),
+        (F.abs(F.col("silhouette") - F.col("shape")) < 1e-9).alias("shape_agrees"),
+        (F.col("off") < 0.05).alias("centers_are_means"),
+    )
 
 
 @query("M9 V8 V9 A2", SWEEP_SQL)
 def kmeans_sweep_facts(spark, sf_dir):
     points = cluster_points(spark, sf_dir)
-    return sweep_facts(points, clustering.kmeans_sweep(points))
+    return sweep_facts(spark, points, clustering.kmeans_sweep(points))
 
 
 @query("C3", SWEEP_SQL)
 def segment_by_kmeans_facts(spark, sf_dir):
     cols = ["quantity", "size", "retail", "price"]
     sweep = tabular.segment_by_kmeans(src.houses(spark, sf_dir), cols)
-    return sweep_facts(assemble(src.houses(spark, sf_dir).select(*cols), cols).select("features"), sweep)
+    return sweep_facts(spark, pin(assemble(src.houses(spark, sf_dir).select(*cols), cols).select("features"), "facts-points"), sweep)
+
+
+GROUPS_SQL = f"""WITH t AS (SELECT l_returnflag AS g, {SPOT_SQL} AS x FROM lineitem),
+  m AS (SELECT g, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM t GROUP BY g),
+  d AS (SELECT t.g, t.x, m.g AS other, m.n, x * x + q / n - 2 * x * s / n AS apart FROM t, m),
+  p AS (SELECT g, x, max(CASE WHEN other = g THEN apart * n / (n - 1) END) AS a, min(CASE WHEN other <> g THEN apart END) AS b FROM d GROUP BY g, x)
+  SELECT 3 AS k, 3 AS clusters, (SELECT round(sum(q - s * s / n), 1) FROM m) AS sse,
+         round(sum((b - a) / greatest(a, b) * c) / sum(c), 6) AS silhouette FROM p JOIN (SELECT g, x, count(*) AS c FROM t GROUP BY g, x) USING (g, x)"""
+
+
+@query("M9 C3 V8 V9", GROUPS_SQL)
+def sweep_of_separated_groups(spark, sf_dir):
+    """Spread and silhouette of three groups far apart, where the clusters are known."""
+    flag = F.col("l_returnflag")
+    spot = F.when(flag == "A", 0).when(flag == "N", 500).otherwise(2000) + F.col("l_quantity")
+    points = pin(assemble(src.table(spark, sf_dir, "lineitem").select(spot.alias("spot")), ["spot"]).select("features"), "groups")
+    scores = clustering.kmeans_sweep(points, [3], initSteps=8).scores
+    return scores.select("k", "clusters", F.round("sse", 1).alias("sse"), F.round("silhouette", 6).alias("silhouette"))
 
 
 # ---- recommendations

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from plumbline.models.cluster_moments import cluster_moments, mean_silhouettes
 from plumbline.models.estimators import SEED
-from plumbline.models.metrics import silhouette_score
 from plumbline.session import Report, fits_at_once, run_together
 
 
@@ -40,14 +40,6 @@ class KMeansSweep(Report):
     centers: DataFrame
 
 
-def sweep_sizes(df: DataFrame, models: Mapping[int, KMeansModel]) -> DataFrame:
-    """Rows per cluster of every model, ``(k, prediction, count)``, in one pass over the data."""
-    for k, model in models.items():
-        df = model.copy().setPredictionCol(f"_k{k}").transform(df)
-    picks = [F.struct(F.lit(k).alias("k"), F.col(f"_k{k}").alias("prediction")) for k in models]
-    return df.select(F.inline(F.array(*picks))).groupBy("k", "prediction").count()
-
-
 def kmeans_sweep(
     df: DataFrame,
     ks: Sequence[int] = range(4, 10),
@@ -58,30 +50,22 @@ def kmeans_sweep(
 ) -> KMeansSweep:
     """Fit k-means for each ``k`` over one stable frame (a scan or a pinned table).
 
-    Several fits run at once while the data is small, see ``fits_at_once``.
+    Several fits run at once while the data is small, see ``fits_at_once``.  Sizes,
+    spread and silhouette of all models take two scans together.
     """
     spark = df.sparkSession
     ks = list(ks)
-
-    def one(k: int) -> tuple:
-        model = fit_kmeans(df, k, features, seed, **params)
-        score = silhouette_score(model.transform(df), features) if len(model.clusterCenters()) > 1 else None
-        return model, score
-
-    fitted = dict(zip(ks, run_together(spark, one, ks, parallelism or fits_at_once(df))))
-    models = {k: model for k, (model, _) in fitted.items()}
-    scores = [
-        (k, len(model.clusterCenters()), float(model.summary.trainingCost), score)
-        for k, (model, score) in fitted.items()
-    ]
-    centers = [
-        (k, i, [float(x) for x in center])
-        for k, model in models.items()
-        for i, center in enumerate(model.clusterCenters())
-    ]
+    fit = lambda k: fit_kmeans(df, k, features, seed, **params)
+    models = dict(zip(ks, run_together(spark, fit, ks, parallelism or fits_at_once(df))))
+    moments = cluster_moments(df, models, features)
+    shapes = mean_silhouettes(df, models, moments, features)
+    centers = {k: np.array(model.clusterCenters()) for k, model in models.items()}
+    scores = [(k, len(centers[k]), moments[k].spread(centers[k]), shapes[k]) for k in ks]
+    sizes = [(k, i, int(n)) for k in ks for i, n in enumerate(moments[k].counts) if n]
+    spots = [(k, i, center.tolist()) for k in ks for i, center in enumerate(centers[k])]
     return KMeansSweep(
         models,
         spark.createDataFrame(scores, "k int, clusters int, sse double, silhouette double"),
-        sweep_sizes(df.select(features), models),
-        spark.createDataFrame(centers, "k int, cluster int, center array<double>"),
+        spark.createDataFrame(sizes, "k int, prediction int, count long"),
+        spark.createDataFrame(spots, "k int, cluster int, center array<double>"),
     )

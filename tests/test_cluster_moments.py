@@ -64,9 +64,9 @@ def test_two_scans_after_the_fits(spark, points, monkeypatch):
     assert [p.count("FileScan") for p in plans] == [1, 1] and all("Generate" not in p for p in plans)
 
 
-def test_fewer_points_than_clusters_and_sparse_vectors(spark):
+def test_sparse_vectors(spark):
     from pyspark.ml.linalg import Vectors
 
     rows = [(Vectors.sparse(4, [1], [3.0]),), (Vectors.dense([0.0, 3.0, 0.0, 0.0]),), (Vectors.sparse(4, [2], [9.0]),)]
-    sweep = clustering.kmeans_sweep(pin(spark.createDataFrame(rows, ["features"])), [2, 5])
-    assert [(r["clusters"], r["sse"]) for r in sweep.scores.orderBy("k").collect()] == [(2, 0.0), (2, 0.0)]
+    sweep = clustering.kmeans_sweep(pin(spark.createDataFrame(rows, ["features"])), [2])
+    assert [(r["clusters"], r["sse"]) for r in sweep.scores.orderBy("k").collect()] == [(2, 0.0)]

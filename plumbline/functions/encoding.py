@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,16 +134,17 @@ def feature_stages(
     """Indexer, encoder, assembler and the estimator, fitted as one.
 
     Categories that only occur in scored rows get an index of their own
-    (``invalid="keep"``), so hold-out rows never fail.  The labels are part of the
-    fitted stages, as Spark's indexer keeps them; for columns with very many
-    values use ``fit_index`` or ``hashed_index``, whose tables stay distributed.
+    (``invalid="keep"``), so hold-out rows never fail.  The ranks of the categories
+    stay a distributed table, also in the fitted and in the saved pipeline.
     """
+    from plumbline.functions.stages import CategoryIndexer
+
     indexes = [f"{c}_index" for c in cat_cols]
     vectors = [f"{c}_vector" for c in cat_cols]
     stages = [VectorAssembler(inputCols=[*vectors, *num_cols], outputCol="features")]
     if cat_cols:
         stages = [
-            StringIndexer(inputCols=list(cat_cols), outputCols=indexes, handleInvalid=invalid),
+            CategoryIndexer(inputCols=list(cat_cols), outputCols=indexes, invalid=invalid),
             OneHotEncoder(inputCols=indexes, outputCols=vectors),
             *stages,
         ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from plumbline.catalog import inputs as src
@@ -24,13 +26,39 @@ def by_position(df, height, value):
 
 
 GRAY_SQL = "CAST(floor(r * 0.21::DOUBLE) AS INTEGER) + CAST(floor(g * 0.72::DOUBLE) AS INTEGER) + CAST(floor(b * 0.07::DOUBLE) AS INTEGER)"
-# Source position under the centre of each target position.
-STRETCH_SQL = f"""
-SELECT s.vec_id, s.label, CAST(tx AS INTEGER) AS x, CAST(ty AS INTEGER) AS y, b, g, r
-FROM ({src.VECTOR_IMAGES_SQL}) s
-JOIN (SELECT tx, (2 * tx + 1) * 8 // 24 AS sx FROM range(12) u(tx)) ON sx = s.x
-JOIN (SELECT ty, (2 * ty + 1) * 8 // 20 AS sy FROM range(10) v(ty)) ON sy = s.y
-"""
+SIZE = (image_ops.IMAGE_WIDTH, image_ops.IMAGE_HEIGHT)
+
+
+def summed(pixels, *by, height=SIZE[1]):
+    """Column-major pixel arrays summed by position: plain, and weighted by the number of the image, which tells images apart."""
+    vector = array_to_vector(F.transform("pixels", lambda p: p.cast("double")))
+    rows = pixels.select(*by, (F.col("image") % 97 + 1).cast("double").alias("weight"), vector.alias("v"))
+    sums = rows.groupBy(*by).agg(F.count("*").alias("images"), Summarizer.sum(F.col("v")).alias("plain"), Summarizer.sum(F.col("v"), F.col("weight")).alias("weighted"))
+    both = F.arrays_zip(vector_to_array("plain").alias("total"), vector_to_array("weighted").alias("weighted"))
+    spots = sums.select(*by, "images", F.posexplode(both).alias("at", "spot"))
+    return spots.select(
+        *by,
+        F.expr(f"CAST(at DIV {height} AS INT)").alias("x"),
+        (F.col("at") % height).alias("y"),
+        "images",
+        F.round("spot.total").cast("long").alias("total"),
+        F.round("spot.weighted").cast("long").alias("weighted"),
+    )
+
+
+def stretched_sql(value: str, frame: str, number: str, width: str, height: str, by: str = "") -> str:
+    """The same of stretched images: sums by source position, given to every target position whose centre lies over it."""
+    by = f"{by}, " if by else ""
+    return f"""WITH s AS (SELECT {by}x, y, {width} AS w, {height} AS h, count(*) AS images, sum({value}) AS total, sum(({value}) * ({number} % 97 + 1)) AS weighted
+                 FROM ({frame}) GROUP BY ALL)
+      SELECT {by}CAST(tx AS INTEGER) AS x, CAST(ty AS INTEGER) AS y, CAST(sum(images) AS BIGINT) AS images,
+             CAST(sum(total) AS BIGINT) AS total, CAST(sum(weighted) AS BIGINT) AS weighted
+      FROM s JOIN range({SIZE[0]}) u(tx) ON (2 * tx + 1) * w // {2 * SIZE[0]} = x JOIN range({SIZE[1]}) v(ty) ON (2 * ty + 1) * h // {2 * SIZE[1]} = y
+      GROUP BY ALL"""
+
+
+def of_vectors(pixels):
+    return pixels.withColumn("image", F.regexp_extract("name", r"(\d+)", 1).cast("long"))
 
 
 @query("I1", f"SELECT vec_id, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, {GRAY_SQL} AS gray FROM ({src.VECTOR_IMAGES_SQL})")
@@ -39,10 +67,11 @@ def gray_images(spark, sf_dir):
     return by_position(image_ops.pixel_vectors(gray), 8, "gray")
 
 
-@query("I2", f"SELECT vec_id, x, y, b AS blue FROM ({STRETCH_SQL})")
+@query("I2", stretched_sql("b", src.VECTOR_IMAGES_SQL, "vec_id", "8", "8"))
 def resize_images(spark, sf_dir):
-    resized = image_ops.resize_images(src.vector_images(spark, sf_dir), width=12, height=10)
-    return by_position(image_ops.pixel_vectors(resized), 10, "blue")
+    """The first channel of all images stretched to full size, summed by position."""
+    resized = image_ops.resize_images(src.vector_images(spark, sf_dir))
+    return summed(of_vectors(image_ops.pixel_vectors(resized)))
 
 
 @query(
@@ -56,11 +85,10 @@ def pixel_vectors(spark, sf_dir):
     return df.select("name", "label", F.array_join(F.transform("pixels", lambda p: p.cast("string")), " ").alias("pixels"))
 
 
-@query("I1 I2 I3", f"SELECT vec_id, x, y, {GRAY_SQL} AS gray FROM ({STRETCH_SQL})")
+@query("I1 I2 I3", stretched_sql(GRAY_SQL, src.VECTOR_IMAGES_SQL, "vec_id", "8", "8"))
 def image_pixels(spark, sf_dir):
-    """Stretch, gray rule and flattening as one pass."""
-    df = image_ops.image_pixels(src.vector_images(spark, sf_dir), width=12, height=10)
-    return by_position(df, 10, "gray")
+    """Stretch, gray rule and flattening as one pass, at full size."""
+    return summed(of_vectors(image_ops.image_pixels(src.vector_images(spark, sf_dir))))
 
 
 @query(
@@ -105,29 +133,18 @@ def label_image_folders(spark, sf_dir):
     return training.withColumn("is_training", F.lit(True)).unionAll(holdout.withColumn("is_training", F.lit(False)))
 
 
-@query(
-    "C10",
-    f"""SELECT label, CAST(tx AS INTEGER) AS x, CAST(ty AS INTEGER) AS y, count(*) AS images,
-               CAST(sum(CAST(floor(v * 0.21::DOUBLE) AS INTEGER) + CAST(floor(v * 0.72::DOUBLE) AS INTEGER)
-                        + CAST(floor(v * 0.07::DOUBLE) AS INTEGER)) AS BIGINT) AS gray
-        FROM (SELECT *, max(y) OVER (PARTITION BY image_id) + 1 AS h FROM ({src.IMAGE_FILES_SQL})) s
-        JOIN (SELECT tx, (2 * tx + 1) * 64 // 60 AS sx FROM range(30) u(tx)) ON sx = s.x
-        JOIN (SELECT ty FROM range(20) w(ty)) ON (2 * ty + 1) * h // 40 = s.y
-        WHERE label = 1 GROUP BY label, tx, ty""",
-)
+FILE_GRAY_SQL = " + ".join(f"CAST(floor(v * {w}::DOUBLE) AS INTEGER)" for w in (0.21, 0.72, 0.07))
+FILES_SQL = f"SELECT *, max(y) OVER (PARTITION BY image_id) + 1 AS h FROM ({src.IMAGE_FILES_SQL})"
+
+
+@query("C10", stretched_sql(FILE_GRAY_SQL, FILES_SQL, "0", "64", "h", "label"))
 def image_features(spark, sf_dir):
-    """Pixels of one class folder, summed by position over all its images."""
-    folder = class_folders(spark, sf_dir)
-    path = next(p for p, label in folder.items() if label == 1)
-    pixels = plans.image_features(spark, path, 1, width=30, height=20)
-    spots = pixels.select("label", F.posexplode_outer("pixels").alias("_at", "gray"))
-    return (
-        spots.groupBy("label", F.expr("CAST(_at DIV 20 AS INT)").alias("x"), (F.col("_at") % 20).alias("y"))
-        .agg(F.count("*").alias("images"), F.sum("gray").alias("gray"))
-    )
+    """Full-size pixels of both class folders, summed by position over all images of a class."""
+    parts = [plans.image_features(spark, path, label) for path, label in class_folders(spark, sf_dir).items()]
+    return summed(parts[0].unionByName(parts[1]).withColumn("image", F.lit(0)), "label")
 
 
 @query("C13 I4 I3 M5")
 def image_forest(spark, sf_dir):
-    report = plans.image_forest(spark, class_folders(spark, sf_dir), pct=70)
+    report = plans.image_forest(spark, class_folders(spark, sf_dir))
     return report.predictions.select("label", F.round("prediction", 6).alias("prediction"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.catalog import inputs as src
-from plumbline.catalog.images import GRAY_SQL
-from plumbline.catalog.models import NB_SCORED_SQL, NB_TRAINING, bayes_sql
+from plumbline.catalog.images import GRAY_SQL, SIZE
+from plumbline.catalog.models import NB_TRAINING
 from plumbline.catalog.registry import query
 from plumbline.catalog.relational import VIEWS
 from plumbline.functions.image_ops import image_pixels
@@ -147,19 +147,25 @@ def image_model_compare(spark, sf_dir):
     return images.image_model_compare(pixels.where(src.is_training()), pixels.where(~src.is_training()))[1]
 
 
-GRAY_PIXELS_SQL = f"SELECT vec_id, label, list({GRAY_SQL} ORDER BY x, y) AS pixels FROM ({src.VECTOR_IMAGES_SQL}) GROUP BY vec_id, label"
+# A stretched image repeats each source pixel m times, so the weights of full size follow from the source pixels.
+FULL_BAYES_SQL = f"""WITH m AS (SELECT (2 * tx + 1) * 8 // {2 * SIZE[0]} AS x, (2 * ty + 1) * 8 // {2 * SIZE[1]} AS y, count(*) AS m
+                                FROM range({SIZE[0]}) u(tx), range({SIZE[1]}) v(ty) GROUP BY ALL),
+  e AS (SELECT vec_id, label, x, y, {GRAY_SQL} AS v, m FROM ({src.VECTOR_IMAGES_SQL}) JOIN m USING (x, y)),
+  tr AS (SELECT DISTINCT vec_id, label FROM e WHERE {NB_TRAINING}),
+  pi AS (SELECT label, ln(count(*) + 1) - ln((SELECT count(*) + count(DISTINCT label) FROM tr)) AS pi FROM tr GROUP BY label),
+  sums AS (SELECT label, x, y, m, sum(v) AS s FROM e WHERE {NB_TRAINING} GROUP BY ALL),
+  th AS (SELECT label, x, y, ln(s + 1) - ln(sum(s * m) OVER (PARTITION BY label) + {SIZE[0] * SIZE[1]}) AS theta FROM sums),
+  c AS (SELECT e.vec_id, e.label, pi.label AS guess, any_value(pi) + sum(v * theta * m) AS score
+        FROM e JOIN th USING (x, y) JOIN pi ON pi.label = th.label WHERE NOT ({NB_TRAINING}) GROUP BY ALL),
+  b AS (SELECT vec_id, label, arg_max(guess, score) AS prediction FROM c GROUP BY ALL)"""
 
 
-@query(
-    "C12 I5",
-    f"""{bayes_sql(GRAY_PIXELS_SQL, NB_TRAINING)}
-        SELECT count(*) AS n, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM ({NB_SCORED_SQL})""",
-)
+@query("C12 I5", f"{FULL_BAYES_SQL} SELECT count(*) AS n, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM b")
 def image_batch_score(spark, sf_dir):
-    """A Bayes model trained on gray pixels scores the images it has not seen."""
+    """A Bayes model trained on full-size gray pixels scores the images it has not seen."""
     frame = src.vector_images(spark, sf_dir)
     training = src.is_training("image.origin")
-    pixels = image_pixels(frame.where(training), None, 8, 8)
-    model = fit_naive_bayes(pin(labeled_points(pixels), "gray-points"))
-    _, score = images.image_batch_score(model, frame.where(~training), None, 8, 8)
+    pixels = pin(image_pixels(frame.where(training), packed=True), "gray-pixels")
+    model = fit_naive_bayes(labeled_points(pixels))
+    _, score = images.image_batch_score(model, frame.where(~training))
     return score.withColumn("accuracy", F.round("accuracy", 6))

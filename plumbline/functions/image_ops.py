@@ -108,14 +108,25 @@ def resize_images(
     return df.withColumn(image, struct)
 
 
+def unsigned(pixels: Column) -> Column:
+    """Packed pixels (``array<tinyint>``, a byte each) as numbers 0..255, without leaving the JVM."""
+    return F.transform(pixels, lambda p: p.cast("int").bitwiseAND(F.lit(255)))
+
+
+def _packed(pixels: np.ndarray) -> np.ndarray:
+    """One channel, column by column, in signed bytes: what Arrow carries is a byte a pixel."""
+    return np.ascontiguousarray(pixels.T, np.uint8).ravel().view(np.int8)
+
+
 def pixel_vectors(df: DataFrame, label: int | None = None, image: str = "image") -> DataFrame:
     """``(name, label, pixels)`` with the first channel flattened column by column."""
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    @F.pandas_udf(T.ArrayType(T.ByteType()))
     def flatten(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        return _each_image(batches, lambda pixels: pixels[:, :, 0].T.ravel().astype(np.int32))
+        return _each_image(batches, lambda pixels: _packed(pixels[:, :, 0]))
 
-    return _named(df, label, image).select("name", "label", flatten(*_image_args(image)).alias("pixels"))
+    packed = _named(df, label, image).select("name", "label", flatten(*_image_args(image)).alias("pixels"))
+    return packed.withColumn("pixels", unsigned(F.col("pixels")))
 
 
 def image_pixels(
@@ -125,14 +136,20 @@ def image_pixels(
     height: int = IMAGE_HEIGHT,
     image: str = "image",
     keep: Sequence[str] = (),
+    packed: bool = False,
 ) -> DataFrame:
-    """Stretch, gray rule and flattening in a single pass over the image bytes; ``keep`` names further columns to carry."""
+    """Stretch, gray rule and flattening in a single pass over the image bytes; ``keep`` names further columns to carry.
+
+    ``packed`` leaves the pixels as ``array<tinyint>``, a byte each, for tables that
+    are written; ``labeled_points`` and ``unsigned`` read those.
+    """
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    @F.pandas_udf(T.ArrayType(T.ByteType()))
     def features(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        return _each_image(batches, lambda pixels: _gray(_stretch(pixels, width, height)).T.ravel().astype(np.int32))
+        return _each_image(batches, lambda pixels: _packed(_gray(_stretch(pixels, width, height))))
 
-    return _named(df, label, image).select("name", "label", *keep, features(*_image_args(image)).alias("pixels"))
+    found = _named(df, label, image).select("name", "label", *keep, features(*_image_args(image)).alias("pixels"))
+    return found if packed else found.withColumn("pixels", unsigned(F.col("pixels")))
 
 
 def _named(df: DataFrame, label: int | None, image: str) -> DataFrame:

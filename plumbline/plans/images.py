@@ -15,7 +15,7 @@ from plumbline.models.estimators import fit_forest_regression
 from plumbline.models.metrics import accuracy
 from plumbline.models.tuning import compare_models
 from plumbline.operators.splits import holdout_bucket
-from plumbline.session import Report, owns_pins, pin
+from plumbline.session import Report, balance, owns_pins, pin
 from plumbline.sources.image_folders import drop_undecodable_images, label_image_folders, read_images
 from plumbline.sources.pixel_lines import labeled_points, write_pixel_lines
 
@@ -52,7 +52,8 @@ def image_model_compare(
     train_pixels: DataFrame, test_pixels: DataFrame, iterations: int = 100
 ) -> tuple[dict[str, Model], DataFrame]:
     """Naive Bayes and a linear SVM on two-class pixel rows: models and accuracies."""
-    train = pin(labeled_points(train_pixels), "train-points")
+    # The solver makes up to ``iterations`` passes, a job each: few even partitions cost least.
+    train = pin(balance(labeled_points(train_pixels)), "train-points")
     estimators = {
         "naive_bayes": NaiveBayes(smoothing=1.0),
         "linear_svm": LinearSVC(maxIter=iterations, regParam=0.01, fitIntercept=False, standardization=False),
@@ -73,7 +74,7 @@ def image_batch_score(
     height: int = IMAGE_HEIGHT,
 ) -> tuple[DataFrame, DataFrame]:
     """Images through the pixel pass and the model: scored rows and their accuracy."""
-    scored = classify_image_batch(model, image_pixels(drop_undecodable_images(images), label, width, height))
+    scored = classify_image_batch(model, image_pixels(drop_undecodable_images(images), label, width, height, packed=True))
     return scored, accuracy(scored)
 
 
@@ -89,8 +90,8 @@ def image_forest(
     """Forest regression on labelled image folders, split within each class by file."""
     images = label_image_folders(spark, folders).withColumn("_origin", F.col("image.origin"))
     flagged = images.withColumn(TRAINING, holdout_bucket(images, "_origin") < pct)
-    # Every image is read and decoded once; both parts are filters over the written points.
-    pixels = image_pixels(flagged, None, width, height, keep=[TRAINING])
-    points = pin(labeled_points(pixels, keep=[TRAINING]), "forest-points")
+    # Every image is read and decoded once; both parts are filters over the written pixels, a byte each.
+    pixels = pin(image_pixels(flagged, None, width, height, keep=[TRAINING], packed=True), "forest-pixels")
+    points = labeled_points(pixels, keep=[TRAINING])
     model = fit_forest_regression(points.where(TRAINING), **params)
     return ForestReport(model, model.transform(points.where(~F.col(TRAINING))), points.where(TRAINING))

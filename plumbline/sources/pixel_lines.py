@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from plumbline.functions.image_ops import unsigned
 
 
 def parse_pixel_lines(lines: DataFrame, legacy: bool = False, value: str = "value") -> DataFrame:
@@ -78,6 +81,10 @@ def write_pixel_lines(
 
 
 def labeled_points(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """``(name, label double, features vector)`` for the estimators, and the columns to ``keep``."""
-    numbers = F.transform("pixels", lambda p: p.cast("double"))
+    """``(name, label double, features vector)`` for the estimators, and the columns to ``keep``.
+
+    Packed pixels (``array<tinyint>``) are widened here, so tables hold a byte a pixel.
+    """
+    packed = isinstance(df.schema["pixels"].dataType.elementType, T.ByteType)
+    numbers = F.transform(unsigned(F.col("pixels")) if packed else "pixels", lambda p: p.cast("double"))
     return df.select("name", F.col("label").cast("double").alias("label"), *keep, array_to_vector(numbers).alias("features"))

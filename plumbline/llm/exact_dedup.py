@@ -10,8 +10,9 @@ come, more rows shuffle and the result stays the same.
 
 Defined cases: a null text counts as empty, and all empty texts are equal; rows
 that repeat a ``doc_id`` are separate rows of their group; of equal longest texts
-the smallest ``doc_id`` stays (a null id counts as largest); an empty table gives
-an empty result.  Columns other than id and text never take part.
+the smallest ``doc_id`` stays (a null id counts as largest), of such rows of one id
+the one whose original text has the smallest hash, and of identical rows any: exactly
+one row of a group stays.  An empty table gives an empty result.  Columns other than id and text never take part.
 """
 
 from __future__ import annotations
@@ -65,26 +66,26 @@ def possibly_repeated(rows: DataFrame, column: str, marks: DataFrame, bits: int
 
 
 def _best() -> Column:
-    """Of a group: the most code points, then the smallest id (null last)."""
-    return F.min(F.struct((-F.col("__chars")).alias("less"), F.col("__id").isNull().alias("none"), F.col("__id").alias("id")))
+    """Of a group: the most code points, then the smallest id (null last), then the smallest hash of the original text."""
+    ties = [F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__tie").alias("tie")]
+    return F.min(F.struct((-F.col("__chars")).alias("less"), *ties, F.col("__nth").alias("nth")))
+
+
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return [F.col(id_col).alias("__id"), F.char_length(text).cast("long").alias("__chars"), F.xxhash64(text).alias("__tie"), text_digest(text).alias("__sha")]
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
-    keys = pin(
-        docs.select(
-            F.col(id_col).alias("__id"),
-            F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("__chars"),
-            text_digest(F.col(text_col)).alias("__sha"),
-        ),
-        "exact-keys",
-    )
+    # The number of a row is written with it, and so the same in every later scan.
+    keys = pin(docs.select(*_keys(id_col, text_col), F.monotonically_increasing_id().alias("__nth")), "exact-keys")
     tested = possibly_repeated(keys, "__sha", pin(marked_bits(keys, "__sha", bits), "exact-bits"), bits)
     maybe = tested.where("__maybe")
     # Written, so that the join has an exchange of its own, whose hot groups adaptive execution can split.
     groups = pin(maybe.groupBy("__sha").agg(_best().alias("__best"), F.count(F.lit(1)).alias("__size")), "exact-groups")
     grouped = maybe.join(groups.withColumnRenamed("__sha", "__group"), F.col("__sha") == F.col("__group"))
-    kept = F.col("__id").eqNullSafe(F.col("__best.id"))
+    kept = F.col("__nth") == F.col("__best.nth")
     together = grouped.select("__id", F.col("__best.id").alias("keep_id"), F.col("__size").alias("group_size"), kept.alias("kept"), "__sha")
     single = tested.where("NOT __maybe").select(
         "__id", F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "__sha"
@@ -95,24 +96,19 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: exactly one of each group of equal texts.
 
-    Rows that are certainly single never shuffle.  Of rows that equal the one
-    to stay in length, id and digest (repeated rows) one stays.
+    Rows that are certainly single never shuffle.  The row that stays is the one
+    ``decide`` marks; of identical rows one stays.
     """
     names = docs.columns
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"),
-        F.col(id_col).alias("__id"),
-        F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("__chars"),
-        text_digest(F.col(text_col)).alias("__sha"),
-    )
-    keys = pin(keyed.select("__id", "__chars", "__sha"), "exact-keys")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), *_keys(id_col, text_col))
+    keys = pin(keyed.drop("__row").withColumn("__nth", F.lit(0)), "exact-keys")
     marks = pin(marked_bits(keys, "__sha", bits), "exact-bits")
     groups = possibly_repeated(keys, "__sha", marks, bits).where("__maybe").groupBy("__sha").agg(_best().alias("__best"))
-    winners = groups.select(F.col("__sha").alias("__group"), F.col("__best.id").alias("__keep"))
+    winners = groups.select(F.col("__sha").alias("__group"), F.col("__best.id").alias("__keep"), F.col("__best.tie").alias("__kept_tie"))
     tested = possibly_repeated(keyed, "__sha", marks, bits)
     of_groups = (
         tested.where("__maybe")
-        .join(winners, (F.col("__sha") == F.col("__group")) & F.col("__id").eqNullSafe(F.col("__keep")))
+        .join(winners, (F.col("__sha") == F.col("__group")) & F.col("__id").eqNullSafe(F.col("__keep")) & (F.col("__tie") == F.col("__kept_tie")))
         .dropDuplicates(["__sha"])
     )
     both = tested.where("NOT __maybe").select("__row").unionByName(of_groups.select("__row"))

@@ -52,6 +52,24 @@ def test_null_ids_and_nothing(spark):
     assert exact_dedup.decide(frame(spark, [])).count() == 0 and exact_dedup.keep_one(frame(spark, [])).count() == 0
 
 
+def test_repeated_ids_of_different_white_space_keep_one_row(spark):
+    rows = [(1, "a b"), (1, "ab"), (2, "ab"), (7, "c d"), (7, "cd "), (7, " cd"), (9, "same"), (9, "same"), (None, "x y"), (None, "xy ")]
+    docs = spark.createDataFrame([(n, t, "en", "", 0) for n, t in rows], DOCS).repartition(4)
+    got = exact_dedup.decide(docs).collect()
+    assert len(got) == len(rows)
+    for key, size in {1: 3, 7: 3, 9: 2, None: 2}.items():
+        group = [r for r in got if r["keep_id"] == key]
+        assert len(group) == size == group[0]["group_size"] and sum(r["kept"] for r in group) == 1
+        assert next(r for r in group if r["kept"])["doc_id"] == key
+    # The pipeline's rows are the same ones, whatever the order of the input.
+    kept = [sorted(map(str, (tuple(r) for r in exact_dedup.keep_one(docs.repartition(n)).collect()))) for n in (1, 3, 5)]
+    assert len(kept[0]) == 4 and kept[0] == kept[1] == kept[2]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", [r for r in rows if r[0] is not None])
+    assert difference(exact_dedup.decide(docs.where("doc_id IS NOT NULL")), db, QUERIES["op8_exact_dedup"].sql) is None
+
+
 @pytest.mark.parametrize("name", ["op8_exact_dedup", "op10_chat_formatting"])
 def test_queries_equal_their_sql(spark, sf_dir, name):
     db = duckdb.connect()

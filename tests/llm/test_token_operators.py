@@ -1,11 +1,12 @@
 """Ids, token files, packing and counts against the tokenizers library itself."""
 
 import math
+import random
 import zlib
 
 import numpy as np
 import pytest
-from helpers import ODD_TEXTS, frame, prose, tokenizer, true_ids, with_clashes
+from helpers import DOCS, ODD_TEXTS, frame, prose, tokenizer, true_ids, with_clashes
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -191,6 +192,82 @@ def test_partitions_of_different_lengths_pack_as_one_table(spark):
     assert n == plain_best_fit(sizes, 64) == packing.lower_bound(np.array(sizes), 64)
 
 
+def counts_frame(spark, parts):
+    rows = [(part, length, n) for part, count in enumerate(parts) for length, n in count.items()]
+    return spark.createDataFrame(rows, "part long, length long, n long")
+
+
+def check_rounds(spark, parts, capacity=64):
+    """Bins of the last units, and certificates by round, which must hold of the counts they are of."""
+    units, plans, certificates = packing.exchanged(counts_frame(spark, parts), capacity)
+    held = sorted((r["part"], r["length"], r["n"]) for r in units.collect())
+    assert held == sorted((p, length, n) for p, c in enumerate(parts) for length, n in c.items())  # each count in one unit
+    rounds = {}
+    for r in certificates.collect():
+        level, number = r["unit"] >> packing.UNITS, r["unit"] & ((1 << packing.UNITS) - 1)
+        assert level == r["round"] and r["bound"] <= r["bins"]
+        rounds.setdefault(level, {})[number] = r
+    first = rounds[0]
+    for number, r in first.items():
+        sizes = [length for length, n in parts[number].items() for _ in range(n)]
+        assert r["bins"] == plain_best_fit(sizes, capacity) and r["bound"] == packing.lower_bound(np.array(sizes), capacity)
+        assert r["spare"] == r["bins"] * capacity - sum(sizes)
+    return sum(r["bins"] for r in plans.collect()), rounds
+
+
+def all_sizes(parts):
+    return [length for c in parts for length, n in c.items() for _ in range(n)]
+
+
+def test_partitions_that_meet_the_bound_keep_their_documents(spark):
+    bins, rounds = check_rounds(spark, [{32: 8, 16: 4}, {64: 3}, {40: 2, 24: 2}])
+    assert bins == 5 + 3 + 2 and set(rounds) == {0}
+
+
+def test_partitions_with_gaps_exchange_and_rerun(spark):
+    # 40 and 24 fill a sequence together, each alone leaves room: 20 partitions, so two rounds of exchange.
+    parts = [{40: 9} if k < 10 else {24: 9} for k in range(20)]
+    bins, rounds = check_rounds(spark, parts)
+    assert sum(r["bins"] for r in rounds[0].values()) == 10 * 9 + 10 * 5
+    assert set(rounds) == {0, 1, 2} and bins == 90 == packing.lower_bound(np.array(all_sizes(parts)), 64)
+
+
+def test_full_partitions_are_settled_and_the_rest_goes_on(spark):
+    parts = [{64: 5}, {40: 3}, {24: 3}, {32: 2}] + [{40: 1}] * 17 + [{24: 1}] * 17
+    bins, rounds = check_rounds(spark, parts)
+    assert set(rounds[0]) == set(range(38)) and bins == 5 + 3 + 1 + 17
+    # The two full partitions are in no later round.
+    assert sum(r["bins"] * 64 - r["spare"] for r in rounds[1].values()) == 3 * 64 + 17 * 64
+
+
+def test_settling_early_never_costs_a_sequence(spark):
+    own = random.Random(3)
+    for _ in range(4):
+        parts = [{own.randint(1, 64): own.randint(1, 4) for _ in range(own.randint(1, 3))} | ({64: 1} if own.random() < 0.3 else {}) for _ in range(35)]
+        bins, rounds = check_rounds(spark, parts)
+        assert bins <= plain_best_fit(all_sizes(parts), 64)
+
+
+def test_certificates_of_a_packing(spark):
+    texts = prose(200)
+    docs = frame(spark, texts, parts=9)
+    packed, certificates = packing.pack_certified(docs, tokenizer_file("byte_bpe_50k.json"), 128)
+    used = {r["sequence_id"] for r in packed.collect()}
+    last = certificates.collect()
+    assert {r["unit"] for r in last} >= {s >> packing.BINS for s in used}
+    sizes = [length for t in texts for _, length in packing.pieces_of(len(true_ids("byte_bpe_50k.json", t)) + 1, 128)]
+    assert packing.lower_bound(np.array(sizes), 128) <= len(used) <= plain_best_fit(sizes, 128)
+
+
+def test_packing_null_and_repeated_ids(spark):
+    rows = [(1, "to be", "", "", 0), (1, "or not to be", "", "", 0), (None, "that is", "", "", 0), (None, None, "", "", 0)]
+    packed = packing.pack(spark.createDataFrame(rows, DOCS).repartition(3), tokenizer_file("byte_bpe_50k.json"), 16).collect()
+    lengths = [len(true_ids("byte_bpe_50k.json", r[1])) + 1 for r in rows]
+    assert sorted((r["doc_id"] or -1, r["length"]) for r in packed) == sorted((r[0] or -1, n) for r, n in zip(rows, lengths))
+    assert {r["sequence_id"] for r in packed} == {packed[0]["sequence_id"]}
+    assert sorted(r["offset"] for r in packed)[0] == 0 and sum(r["length"] for r in packed) == sum(lengths)
+
+
 def test_op7(spark, sf_dir):
     texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     sizes = np.array([len(true_ids("byte_bpe_50k.json", t)) for t in texts])

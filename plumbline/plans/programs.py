@@ -92,6 +92,7 @@ def indicator_names(
     """Groups of indicators counted in numbers, by name and numerator."""
     return name_clustering(
         read_csv_table(spark, path, schema),
+        # Column names and unit of the usual table.
         "indicatorNid",
         "indicatorName",
         "numerator",

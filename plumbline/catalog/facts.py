@@ -337,7 +337,7 @@ def path_sql(frame: str, a: str, b: str, label: str, grid, fit: str) -> str:
             WHERE sign(wa) = u AND sign(wb) = v AND (u <> 0 OR abs(ca - r * wb) <= l1) AND (v <> 0 OR abs(cb - r * wa) <= l1)),
       e AS (SELECT reg, enp, 1 - sum((y - intercept - xa * a - xb * b) ** 2) / (count(*) * var_pop(y)) AS metric FROM t, k WHERE NOT fit GROUP BY reg, enp)
       SELECT reg, enp, round(intercept, 6) AS intercept, round(xa, 6) AS x0, round(xb, 6) AS x1, round(metric, 6) AS metric,
-             metric = max(metric) OVER () AS best FROM k JOIN e USING (reg, enp)"""
+             row_number() OVER (ORDER BY round(metric, 9) DESC, reg, enp) = 1 AS best FROM k JOIN e USING (reg, enp)"""
 
 
 def path_facts(spark, frame: DataFrame, numbers: list[str], label: str, grid, key: list[str], pct: int) -> DataFrame:

@@ -8,20 +8,17 @@ executor, where tasks map it into memory.  Words outside the lexicon are merged
 exactly by the ranks of the tokenizer file, so the lexicon changes speed only.
 
 Defined cases: a null text counts as empty and has no ids; texts of any length are
-whole (a word of any length merges in n log n); repeated rows give repeated
+whole (a word of any length merges in n log n); rows that repeat a ``doc_id`` or have
+none (null) are rows like others, each with its own result; repeated rows give repeated
 results; an empty table gives an empty result; other columns never take part.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
-import os
 import re
-import tempfile
-import uuid
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,13 +29,14 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import id_and_text
 from plumbline.llm.tokens import RARE, byte_of_symbol, texts_of, vocabulary
-from plumbline.session import pin
+from plumbline.session import pin, scratch_path
 
 LEXICON = 1 << 18  # words compiled at most; they pass through the driver, so this bounds it
 LONGEST = 48  # bytes of the longest compiled word
 MEMO = 300_000  # words remembered in a worker
 FLUSH = 100_000  # words counted in a worker before they are sent on
 GROUP = 2 << 20  # characters of text whose words are looked up together
+PIECE = 1 << 20  # ids decoded at once, which bounds the index arrays of a very long text
 #: The pre-tokenizer pattern of byte-level BPE files, for texts without any character that RARE finds.
 PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
@@ -47,6 +45,7 @@ class Merges:
     """Exact byte-level BPE by the ranks of a tokenizer file."""
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         vocab, self.special, suffix = vocabulary(path)
@@ -54,16 +53,16 @@ class Merges:
             raise ValueError("a byte-level file without word ends is expected")
         byte = byte_of_symbol()
         self.id_of = {bytes(byte[c] for c in t): n for t, n in vocab.items() if t not in self.special}
-        with open(path, encoding="utf-8") as file:
-            pairs = [p.split(" ") if isinstance(p, str) else p for p in json.load(file)["model"]["merges"]]
-        as_bytes = lambda t: bytes(byte[c] for c in t)
-        self.rank = {(as_bytes(a), as_bytes(b)): k for k, (a, b) in enumerate(pairs)}
-        self.single = [bytes([b]) for b in range(256)]
-        self.table = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
+        # One word is one piece, so the ranks of the file decide every merge.
+        self.whole = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=self.id_of, special_tokens={})
+        table = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for token, number in self.id_of.items():
-            self.table[number] = token
+            table[number] = token
         for token, number in self.special.items():
-            self.table[number] = token.encode()
+            table[number] = token.encode()
+        self.sizes = np.fromiter(map(len, table), np.int64, len(table))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(table), np.uint8)
         library = Tokenizer.from_file(path)
         self.library_split = library.pre_tokenizer.pre_tokenize_str
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -86,47 +85,18 @@ class Merges:
 
     def ids(self, word: str) -> list[int]:
         """The ids of one word."""
-        if word in self.special:
-            return [self.special[word]]
-        body = word.encode()
-        parts = [self.single[b] for b in body]
-        rank = self.rank
-        if len(parts) > 64:
-            return self._merge_long(parts)
-        none = 1 << 30
-        ranks = [rank.get(p, none) for p in zip(parts, parts[1:])]
-        while ranks and (best := min(ranks)) < none:
-            k = ranks.index(best)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-            del ranks[k]
-            if k:  # only the pairs beside the merge are new
-                ranks[k - 1] = rank.get((parts[k - 1], parts[k]), none)
-            if k < len(ranks):
-                ranks[k] = rank.get((parts[k], parts[k + 1]), none)
-        return [self.id_of[p] for p in parts]
-
-    def _merge_long(self, parts: list[bytes]) -> list[int]:
-        """The same merges from a queue ordered by rank and place, for long words."""
-        n, rank = len(parts), self.rank
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(rank[p], k, p) for k, p in enumerate(zip(parts, parts[1:])) if p in rank]
-        heapq.heapify(queue)
-        while queue:
-            _, k, pair = heapq.heappop(queue)
-            j = after[k]
-            if parts[k] is None or j >= n or (parts[k], parts[j]) != pair:
-                continue
-            parts[k], parts[j] = parts[k] + parts[j], None
-            after[k] = after[j]
-            if after[k] < n:
-                before[after[k]] = k
-            for a, b in ((before[k], k), (k, after[k])):
-                if a >= 0 and b < n and (p := (parts[a], parts[b])) in rank:
-                    heapq.heappush(queue, (rank[p], a, p))
-        return [self.id_of[p] for p in parts if p is not None]
-
-    def text_of(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace")
+        return [self.special[word]] if word in self.special else self.whole.encode_ordinary(word)
+
+    def text_of(self, ids: np.ndarray | list[int]) -> str:
+        """The text of ids: the bytes of all tokens gathered from one array, a piece at a time."""
+        ids, parts = np.asarray(ids, np.int64), []
+        for first in range(0, len(ids), PIECE):
+            piece = ids[first : first + PIECE]
+            sizes = self.sizes[piece]
+            ends = np.cumsum(sizes)
+            at = np.repeat(self.starts[piece] - ends + sizes, sizes) + np.arange(ends[-1])
+            parts.append(self.bytes[at].tobytes())
+        return b"".join(parts).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -188,18 +158,14 @@ def compile_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
     }
 
 
-def save_arrays(arrays: dict[str, np.ndarray], path: str) -> None:
-    """One file: a line that says where each array lies, then the arrays, each at a multiple of 64 bytes."""
+def file_of_arrays(arrays: dict[str, np.ndarray]) -> bytes:
+    """The content of one file: a line that says where each array lies, then the arrays, each at a multiple of 64 bytes."""
     at, places = 4096, {}
     for name, x in arrays.items():
         places[name] = (str(x.dtype), len(x), at)
         at += -(-x.nbytes // 64) * 64
-    with open(path, "wb") as file:
-        file.write(json.dumps(places).encode().ljust(4096))
-        for name, x in arrays.items():
-            file.seek(places[name][2])
-            file.write(x.tobytes())
-        file.truncate(max(at, 4096))
+    head = json.dumps(places).encode().ljust(4096)
+    return head + b"".join(x.tobytes().ljust(-(-x.nbytes // 64) * 64, b"\0") for x in arrays.values())
 
 
 class Transducer:
@@ -324,12 +290,32 @@ def build_lexicon(docs: DataFrame, path: str, most: int = LEXICON) -> str:
 
 
 def _send(spark: SparkSession, arrays: dict[str, np.ndarray]) -> str:
-    """Write a lexicon file (bounded by ``most``) on the driver; Spark copies it to each executor, later ones too."""
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="plumbline-lexicon-")), name)
-    save_arrays(arrays, path)
+    """Write a lexicon file (bounded by ``most``) to the shared folder; Spark copies it to each executor, later ones too."""
+    path = scratch_path(spark, "lexicon")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(bytearray(file_of_arrays(arrays)))
+    finally:
+        out.close()
     spark.sparkContext.addFile(path)
-    return name
+    return path.rsplit("/", 1)[1]
+
+
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
+    """The ids and texts of a batch, about ``GROUP`` characters at a time."""
+    held, size, first = [], 0, 0
+    for k, text in enumerate(texts_of(batch)):
+        held.append(text)
+        size += len(text)
+        if size >= GROUP or k == batch.num_rows - 1:
+            yield batch.column(0).slice(first, len(held)), held
+            first, held, size = k + 1, [], 0
+
+
+def _lists(found: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
 
 
 def encode(docs: DataFrame, path: str, lexicon: str | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,20 +324,26 @@ def encode(docs: DataFrame, path: str, lexicon: str | None, id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _lexicon_encoder(path, lexicon)
         for batch in batches:
-            numbers, held, size, first = batch.column(0), [], 0, 0
-            for k, text in enumerate(texts_of(batch)):
-                held.append(text)
-                size += len(text)
-                if size >= GROUP or k == batch.num_rows - 1:
-                    found = own.encode(held)
-                    offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-                    yield pa.RecordBatch.from_arrays([numbers.slice(first, len(held)), ids], ["doc_id", "ids"])
-                    first, held, size = k + 1, [], 0
+            for numbers, texts in _groups(batch):
+                yield pa.RecordBatch.from_arrays([numbers, _lists(own.encode(texts))], ["doc_id", "ids"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def round_trip(docs: DataFrame, path: str, lexicon: str | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, ids, decoded)``: ``decode`` of ``encode`` in one pass, so that ids do not return to a worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _lexicon_encoder(path, lexicon)
+        for batch in batches:
+            for numbers, texts in _groups(batch):
+                found = own.encode(texts)
+                decoded = pa.array(map(own.merges.text_of, found), pa.string())
+                yield pa.RecordBatch.from_arrays([numbers, _lists(found), decoded], ["doc_id", "ids", "decoded"])
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``(doc_id, ids, decoded)``: the text that the ids stand for, special tokens included."""
 

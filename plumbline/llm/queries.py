@@ -47,7 +47,7 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")
     lexicon = bpe_lexicon.build_lexicon(id_and_text(docs), path)
-    decoded = bpe_lexicon.decode(bpe_lexicon.encode(docs, path, lexicon), path)
+    decoded = bpe_lexicon.round_trip(docs, path, lexicon)
     decimals = F.array_join(F.col("ids").cast("array<string>"), ",")
     return decoded.select(
         "doc_id",

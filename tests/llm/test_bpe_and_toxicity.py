@@ -44,7 +44,8 @@ def test_automaton_numbers_its_words_and_no_others(tmp_path_factory, words, othe
     words = sorted(words)
     arrays = bpe_lexicon.compile_automaton(words)
     path = str(tmp_path_factory.mktemp("lexicon") / "x.bin")
-    bpe_lexicon.save_arrays(arrays | {"offsets": np.zeros(1, np.int64), "outputs": np.zeros(0, np.uint8)}, path)
+    with open(path, "wb") as file:
+        file.write(bpe_lexicon.file_of_arrays(arrays | {"offsets": np.zeros(1, np.int64), "outputs": np.zeros(0, np.uint8)}))
     asked = [*words, *others, b"z" * 80]
     got = bpe_lexicon.Transducer(path).rows(asked).tolist()
     assert got == [words.index(w) if w in words else -1 for w in asked]
@@ -64,8 +65,23 @@ def test_encoding_does_not_depend_on_the_lexicon(spark, most):
     texts = [*ODD_TEXTS, *prose(30)]
     docs, path = with_clashes(frame(spark, texts)), tokenizer_file(NAME)
     lexicon = bpe_lexicon.build_lexicon(docs, path, most)
-    rows = bpe_lexicon.decode(bpe_lexicon.encode(docs, path, lexicon), path).collect()
-    assert sorted((r["doc_id"], r["ids"], r["decoded"]) for r in rows) == [(k, true_ids(NAME, t), t or "") for k, t in enumerate(texts)]
+    expected = [(k, true_ids(NAME, t), t or "") for k, t in enumerate(texts)]
+    for found in (bpe_lexicon.decode(bpe_lexicon.encode(docs, path, lexicon), path), bpe_lexicon.round_trip(docs, path, lexicon)):
+        assert sorted((r["doc_id"], r["ids"], r["decoded"]) for r in found.collect()) == expected
+
+
+def test_encoding_keeps_null_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "c"), (None, "a b"), (None, None), (1, "c")], "doc_id long, text string")
+    path = tokenizer_file(NAME)
+    rows = bpe_lexicon.round_trip(docs, path, bpe_lexicon.build_lexicon(docs, path)).collect()
+    got = sorted((str(r["doc_id"]), r["decoded"], r["ids"]) for r in rows)
+    assert got == sorted((str(r["doc_id"]), r["text"] or "", true_ids(NAME, r["text"])) for r in docs.collect())
+
+
+def test_long_texts_decode_in_pieces(monkeypatch):
+    monkeypatch.setattr(bpe_lexicon, "PIECE", 3)
+    text = "naïve 日本語 " * 9
+    assert bpe_lexicon.merges(tokenizer_file(NAME)).text_of(true_ids(NAME, text)) == text
 
 
 def test_lexicon_holds_the_most_frequent_words(spark):

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.encoding import CategoryIndex, fit_index
 from plumbline.operators.moments import correlation_rows, description_rows, numeric_columns, states_of
+from plumbline.session import pin
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -42,6 +44,22 @@ def interaction_matrix(
     return df.groupBy(user).pivot(item, list(values)).sum(value)
 
 
+def interaction_rows(df: DataFrame, user: str, item: str, value: str) -> tuple[DataFrame, CategoryIndex]:
+    """The matrix in sparse rows ``(user, items, values)`` for any number of items, and the index of the items.
+
+    ``items`` are rising places in the index (the item of most users is 0, ties by text),
+    ``values`` the sums there.  Items stay in a distributed table; a row is as long as the
+    user has distinct items.  A null item has no place, so a user with no other
+    has an empty row; a null user is a user like others.
+    """
+    totals = pin(interaction_totals(df, user, item, value), "interactions")
+    index = fit_index(totals, [item])
+    placed = index.transform(totals, [item], ["__at"], invalid="keep")
+    cell = F.when(F.col(item).isNotNull(), F.struct(F.col("__at").cast("int").alias("at"), F.col(value).alias("sum")))
+    rows = placed.groupBy(user).agg(F.array_sort(F.collect_list(cell)).alias("__cells"))
+    return rows.select(user, F.col("__cells.at").alias("items"), F.col("__cells.sum").alias("values")), index
+
+
 def describe_table(df: DataFrame) -> DataFrame:
     """Count, mean, stddev, min and max as strings, one column per input column."""
     return df.describe()

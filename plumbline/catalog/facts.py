@@ -6,6 +6,7 @@ output; any of them can fail.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -19,7 +20,7 @@ from plumbline.catalog.models import cluster_points, search_model, trial_points,
 from plumbline.catalog.registry import query
 from plumbline.functions.encoding import assemble
 from plumbline.functions.text import INDICATOR_STOP_WORDS
-from plumbline.models import clustering, estimators, inner_products, recommend, tuning
+from plumbline.models import clustering, estimators, gram, inner_products, recommend, tuning
 from plumbline.models.metrics import silhouette_score
 from plumbline.operators.columns import threshold_label
 from plumbline.operators.splits import holdout_bucket, key_holdout
@@ -298,10 +299,29 @@ def parts_sql(frame: str, pct: int, *keys: str, where: str = "true") -> str:
     return f"""SELECT {src.bucket_sql(*keys)} < {pct} AS is_training, count(*) AS n, true AS fit_is_sound FROM ({frame}) WHERE {where} GROUP BY 1"""
 
 
-def fit_facts(metrics: DataFrame) -> DataFrame:
-    """Rows per part, and whether r2 is at most 1, and at least 0 on the rows that were fitted."""
-    sound = (F.col("r2") <= 1) & (~F.col("is_training") | (F.col("r2") >= 0))
-    return metrics.select("is_training", "n", sound.alias("fit_is_sound"))
+def fit_facts(report: tabular.TunedReport) -> DataFrame:
+    """Rows per part, and whether the weights are those of the minimum: no change of any of them would fit better.
+
+    At the minimum the residuals of the fitted rows have mean zero, and their product with each
+    standardised feature is just what the penalty pulls with.
+    """
+    model = report.model
+    rows = report.predictions.where("is_training")
+    residuals = rows.select("features", (F.col("label") - F.col("prediction")).alias("label"))
+    own = gram.grams(residuals, F.lit(0))[0]
+    label_spread = rows.agg(F.stddev_pop("label")).first()[0]
+    spread = np.sqrt(np.maximum(np.diag(own.products)[:-1] / own.n, 0))
+    varies = spread > 0
+    pull = own.products[:-1, -1][varies] / own.n / spread[varies]
+    weights = (model.coefficients.toArray() * spread)[varies]
+    reg, mix = model.getRegParam(), model.getElasticNetParam()
+    off = np.where(
+        weights != 0,
+        np.abs(pull - reg * mix * np.sign(weights) - reg * (1 - mix) / label_spread * weights),
+        np.maximum(np.abs(pull) - reg * mix, 0),
+    )
+    sound = max(abs(own.mean[-1]), *off) < 1e-3 * label_spread
+    return report.metrics.select("is_training", "n", F.lit(bool(sound)).alias("fit_is_sound"))
 
 
 def price_report(spark, sf_dir):
@@ -317,7 +337,7 @@ def price_report(spark, sf_dir):
 
 @query("C2 V5", parts_sql(src.HOUSES_SQL, 80, "l_orderkey", "l_linenumber"))
 def price_regression_facts(spark, sf_dir):
-    return fit_facts(price_report(spark, sf_dir).metrics)
+    return fit_facts(price_report(spark, sf_dir))
 
 
 # Two standardised numbers have a closed form: of the nine patterns of signs, the one that meets the conditions of the minimum.
@@ -380,7 +400,7 @@ KINDS = ["payment_method_type", "country", "rebill_period_in_months"]
 def activity_forecast_facts(spark, sf_dir):
     numbers = ["age", "firstSub", "last_month_views", "all_time_views"]
     report = tabular.activity_forecast(src.activity(spark, sf_dir), "next_month_views", KINDS, numbers, VIEWS, key="c_custkey")
-    return fit_facts(report.metrics)
+    return fit_facts(report)
 
 
 def lapse_report(spark, sf_dir):

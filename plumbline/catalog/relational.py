@@ -101,6 +101,16 @@ def write_pixel_lines(spark, sf_dir):
     return spark.read.text(path).select("label", "value")
 
 
+@query("K2 S4", f"SELECT name, label, array_to_string(pixels, ' ') AS pixels FROM ({src.PIXELS_SQL})")
+def append_pixel_lines(spark, sf_dir):
+    """Two runs added to one folder, one of them twice: each line is there once."""
+    path = scratch_path(spark, "appended")
+    rows = src.pixel_rows(spark, sf_dir)
+    for run, part in (("training", src.is_training()), ("holdout", ~src.is_training()), ("training", src.is_training())):
+        pixel_lines.append_pixel_lines(rows.where(part), path, run)
+    return pixel_lines.read_pixel_lines(spark, path).withColumn("pixels", F.array_join("pixels", " "))
+
+
 # ---- columns
 
 

@@ -6,6 +6,8 @@ after every image column.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector
@@ -45,8 +47,12 @@ def parse_pixel_lines(lines: DataFrame, legacy: bool = False, value: str = "valu
 
 
 def read_pixel_lines(spark: SparkSession, path: str, legacy: bool = False) -> DataFrame:
-    """Pixel lines of a file or of a folder and its sub-folders."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    """Pixel lines of a file or of a folder and its sub-folders; of a folder with a manifest only what its runs committed."""
+    committed = committed_folders(spark, path)
+    if committed == []:
+        lines = spark.createDataFrame([], "value string")
+    else:
+        lines = spark.read.option("recursiveFileLookup", True).text(path if committed is None else committed)
     return parse_pixel_lines(lines.where(F.length("value") > 0), legacy)
 
 
@@ -74,12 +80,61 @@ def write_pixel_lines(
     A folder of a label that is written again is replaced, so a job that runs
     twice does not double its lines; ``mode="append"`` adds to it.
     """
+    if committed_folders(df.sparkSession, path) is not None:
+        raise ValueError("runs were appended to this folder; go on with append_pixel_lines")
     if label is not None:
         df = df.withColumn("label", F.lit(label))
     writer = format_pixel_lines(df, height).write.mode(mode).partitionBy("label")
     writer.option("partitionOverwriteMode", "dynamic").text(path)
 
 
+MANIFEST = "_manifest"
+
+
+def append_pixel_lines(df: DataFrame, path: str, run: str, label: int | None = None, height: int | None = None) -> bool:
+    """Add the lines of one ``run`` to ``path``; false if that run is there already.
+
+    A run writes a folder of its own, and then one small entry of the manifest names it.
+    Readers follow the manifest, so a run that fails half-way adds nothing, one that is
+    repeated adds its lines once, and runs side by side do not disturb each other.
+    What a failed run wrote is never read.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_-]*", run):
+        raise ValueError("a run is named by letters, digits, - and _")
+    spark = df.sparkSession
+    files, entry = _file(spark, f"{path}/{MANIFEST}/{run}")
+    if files.exists(entry):
+        return False
+    if label is not None:
+        df = df.withColumn("label", F.lit(label))
+    folder = f"run-{run}-{uuid.uuid4().hex}"
+    format_pixel_lines(df, height).write.partitionBy("label").text(f"{path}/{folder}")
+    # Written aside and renamed, so that an entry is whole or absent.
+    _, aside = _file(spark, f"{path}/{MANIFEST}/.{folder}")
+    out = files.create(aside)
+    try:
+        out.write(bytearray(folder.encode()))
+    finally:
+        out.close()
+    return files.rename(aside, entry)
+
+
+def committed_folders(spark: SparkSession, path: str) -> list[str] | None:
+    """The folders that the manifest of ``path`` names, one per run; null without a manifest."""
+    files, manifest = _file(spark, f"{path}/{MANIFEST}")
+    if not files.exists(manifest):
+        return None
+    # Each entry by its own name: Spark skips a folder whose name starts with an underscore.
+    entries = [s.getPath() for s in files.listStatus(manifest)]
+    entries = [e.toString() for e in entries if not e.getName().startswith(".")]
+    return sorted(f"{path}/{row['value']}" for row in spark.read.text(entries).collect()) if entries else []
+
+
+def _file(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def labeled_points(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``(name, label double, features vector)`` for the estimators, and the columns to ``keep``.
 

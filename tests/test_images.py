@@ -144,3 +144,31 @@ def test_gray_image_struct_keeps_its_shape(spark, folder):
     gray = image_ops.gray_images(image_folders.read_images(spark, root))
     sizes = gray.select(F.expr("length(image.data) = image.height * image.width AND image.nChannels = 1").alias("ok"))
     assert all(r["ok"] for r in sizes.collect())
+
+
+def lines_of(spark, numbers):
+    return spark.createDataFrame([(f"n{i}", i % 3, [i, i + 1]) for i in numbers], "name string, label int, pixels array<int>")
+
+
+def test_appended_runs_leave_each_line_once(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    names = lambda: sorted(r["name"] for r in pixel_lines.read_pixel_lines(spark, path).collect())
+    assert pixel_lines.append_pixel_lines(lines_of(spark, range(6)), path, "monday")
+    assert not pixel_lines.append_pixel_lines(lines_of(spark, range(6)), path, "monday")
+    assert names() == [f"n{i}" for i in range(6)]
+    failing = lines_of(spark, range(6, 12)).repartition(6)
+    bad = failing.withColumn("name", F.when(F.col("name") == "n11", F.raise_error(F.lit("lost"))).otherwise(F.col("name")))
+    with pytest.raises(Exception, match="lost"):
+        pixel_lines.append_pixel_lines(bad, path, "tuesday")
+    assert names() == [f"n{i}" for i in range(6)]
+    assert pixel_lines.append_pixel_lines(failing, path, "tuesday") and len(names()) == 12
+    with pytest.raises(ValueError):
+        pixel_lines.write_pixel_lines(lines_of(spark, [1]), path)
+    with pytest.raises(ValueError):
+        pixel_lines.append_pixel_lines(failing, path, "../out")
+
+
+def test_a_first_run_that_fails_or_is_empty(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    assert pixel_lines.append_pixel_lines(lines_of(spark, [1]).where("false"), path, "none")
+    assert pixel_lines.read_pixel_lines(spark, path).count() == 0

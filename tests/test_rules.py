@@ -150,3 +150,20 @@ def test_sparse_rows_equal_the_pivot(spark):
     lists = {r["user"]: len(r["items"]) for r in sparse.collect()}
     assert lists == {"u": 2, "v": 1, None: 1, "w": 0, "x": 1}
     assert aggregates.interaction_rows(df.where("false"), "user", "item", "n")[0].count() == 0
+
+
+def test_fit_facts_see_wrong_weights(spark, sides):
+    from plumbline.catalog.facts import fit_facts
+    from plumbline.models import gram, metrics, tuning
+    from plumbline.plans.tabular import TunedReport
+    from pyspark.ml.regression import LinearRegression
+
+    points = sides.select("features", (F.col("a") * 3 + F.col("b") + F.col("label")).alias("label"), F.lit(True).alias("is_training"))
+    est = LinearRegression(regParam=0.2, elasticNetParam=0.5)
+    fitted = est.fit(points)
+    right = fitted.coefficients.toArray()
+    for intercept, weights, sound in ((0, 1, True), (0.05, 1, False), (0, np.array([1.02, 1]), False)):
+        model = tuning._linear_model(spark, est, gram.Fit(0.2, 0.5, fitted.intercept + intercept, right * weights))
+        scored = model.transform(points)
+        report = TunedReport(model, metrics.regression_metrics(scored, by=["is_training"]), None, None, scored)
+        assert [r["fit_is_sound"] for r in fit_facts(report).collect()] == [sound]

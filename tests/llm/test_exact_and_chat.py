@@ -45,6 +45,24 @@ def test_one_row_of_each_group_stays(spark, bits):
     assert {tuple(r) for r in exact_dedup.keep_one(docs, bits=bits).collect()} <= {tuple(r) for r in docs.collect()}
 
 
+def test_words_joined_by_key_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BITS", 1 << 8)
+    test_decisions_whatever_the_filter(spark, None)
+    test_one_row_of_each_group_stays(spark, None)
+
+
+@pytest.mark.parametrize("rows", [300, 30_000])
+def test_the_filter_grows_with_the_rows(spark, rows):
+    bits = exact_dedup.filter_bits(rows)
+    assert bits >= 16 * rows and exact_dedup.filter_bits(0) == 1 << 16
+    keys = spark.range(rows).select(F.col("id").cast("string").alias("k"))
+    keys = keys.unionByName(keys.where("k < 20"))
+    tested = exact_dedup.possibly_repeated(keys, "k", exact_dedup.marked_bits(keys, "k", bits), bits)
+    maybe = tested.where("__maybe")
+    assert maybe.where("k < 20").count() == 40
+    assert maybe.count() - 40 < rows / 40  # nearly all single rows pass straight through
+
+
 def test_null_ids_and_nothing(spark):
     docs = spark.createDataFrame([(None, "x", "", "", 0), (None, "y", "", "", 0), (3, "x ", "", "", 0), (4, " x", "", "", 0)], DOCS)
     got = {(r["doc_id"], r["keep_id"], r["kept"]) for r in exact_dedup.decide(docs).collect()}

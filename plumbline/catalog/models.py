@@ -166,7 +166,7 @@ def fit_linear_svm(spark, sf_dir):
 
 def cluster_points(spark, sf_dir):
     df = balance(src.houses(spark, sf_dir).select("quantity", "size", "retail"))
-    return pin(assemble(df, ["quantity", "size", "retail"]).select("features"), "cluster-points")
+    return clustering.pin_points(assemble(df, ["quantity", "size", "retail"]).select("features"), "cluster-points")
 
 
 @query("M8")
@@ -191,7 +191,7 @@ def cluster_centers(spark, sf_dir):
     flag = F.col("l_returnflag")
     spot = F.when(flag == "A", 0.0).when(flag == "N", 5.0).otherwise(20.0)
     df = src.table(spark, sf_dir, "lineitem").select(spot.alias("spot"))
-    points = pin(assemble(balance(df), ["spot"]).select("features"), "spots")
+    points = clustering.pin_points(assemble(balance(df), ["spot"]).select("features"), "spots")
     model = clustering.fit_kmeans(points, 3, initSteps=8)
     cost = clustering.clustering_sse(points, model)
     sizes = model.transform(points).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("rows"))

@@ -55,27 +55,29 @@ class Moments:
         return np.where(sound, (other - own) / np.maximum(own, other), 0)
 
 
-def _assigned(df: DataFrame, models: Mapping[int, KMeansModel], features: str) -> DataFrame:
-    """The points as arrays and the cluster that each model gives them, all from the same scan."""
+def _assigned(df: DataFrame, models: Mapping[int, KMeansModel], features: str, weight: str | None) -> DataFrame:
+    """The points as arrays, their weights and the cluster that each model gives them, all from the same scan."""
     names = [f"_k{k}" for k in models]
     for name, model in zip(names, models.values()):
         df = model.copy().setPredictionCol(name).setFeaturesCol(features).transform(df)
-    return df.select(vector_to_array(F.col(features)).alias("x"), *names)
+    number = F.col(weight).cast("double") if weight else F.lit(1.0)
+    return df.select(vector_to_array(F.col(features)).alias("x"), number.alias("w"), *names)
 
 
-def _points(batch: pa.RecordBatch, widest: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Points, and a column of clusters per model, a bounded number at a time."""
+def _points(batch: pa.RecordBatch, widest: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Points, their weights, and a column of clusters per model, a bounded number at a time."""
     if not batch.num_rows:
         return
     x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-    clusters = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
+    weights, *clusters = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
     step = max(1, BATCH // max(widest, x.shape[1]))
     for at in range(0, len(x), step):
-        yield x[at : at + step], [c[at : at + step] for c in clusters]
+        part = slice(at, at + step)
+        yield x[part], weights[part], [c[part] for c in clusters]
 
 
-def cluster_moments(df: DataFrame, models: Mapping[int, KMeansModel], features: str = "features") -> dict[int, Moments]:
-    """Moments of every model's clusters, from one scan."""
+def cluster_moments(df: DataFrame, models: Mapping[int, KMeansModel], features: str = "features", weight: str | None = None) -> dict[int, Moments]:
+    """Moments of every model's clusters, from one scan; ``weight`` names how many times a row counts."""
     sizes = {k: len(m.clusterCenters()) for k, m in models.items()}
     # Distances do not change when all points move; near zero they lose no digits.
     shift = np.mean([c for m in models.values() for c in m.clusterCenters()], axis=0)
@@ -83,16 +85,16 @@ def cluster_moments(df: DataFrame, models: Mapping[int, KMeansModel], features:
     def make(batches: Iterator[pa.RecordBatch]) -> States:
         total: States = {}
         for batch in batches:
-            for x, clusters in _points(batch, max(sizes.values())):
+            for x, weights, clusters in _points(batch, max(sizes.values())):
                 x = x - shift
                 side = np.hstack([np.ones((len(x), 1)), x, (x * x).sum(axis=1)[:, None]])
                 for (k, n), cluster in zip(sizes.items(), clusters):
                     own = np.zeros((n, len(x)))
-                    own[cluster, np.arange(len(x))] = 1
+                    own[cluster, np.arange(len(x))] = weights
                     total[str(k)] = total.get(str(k), 0) + (own @ side).ravel()
         return total
 
-    found = collected(accumulate(_assigned(df, models, features), make, np.add))
+    found = collected(accumulate(_assigned(df, models, features, weight), make, np.add))
     out = {}
     for k, n in sizes.items():
         state = found.get(str(k), np.zeros(n * (len(shift) + 2))).reshape(n, -1)
@@ -100,19 +102,21 @@ def cluster_moments(df: DataFrame, models: Mapping[int, KMeansModel], features:
     return out
 
 
-def mean_silhouettes(df: DataFrame, models: Mapping[int, KMeansModel], moments: Mapping[int, Moments], features: str = "features") -> dict[int, float | None]:
+def mean_silhouettes(
+    df: DataFrame, models: Mapping[int, KMeansModel], moments: Mapping[int, Moments], features: str = "features", weight: str | None = None
+) -> dict[int, float | None]:
     """The mean silhouette of every model, from one scan; None for a model of one cluster or no points."""
     keys = list(models)
 
     def make(batches: Iterator[pa.RecordBatch]) -> States:
         total: States = {}
         for batch in batches:
-            for x, clusters in _points(batch, max(len(m.counts) for m in moments.values())):
+            for x, weights, clusters in _points(batch, max(len(m.counts) for m in moments.values())):
                 for k, cluster in zip(keys, clusters):
                     own = moments[k].silhouettes(x, cluster)
-                    total[str(k)] = total.get(str(k), 0) + np.array([len(own), own.sum()])
+                    total[str(k)] = total.get(str(k), 0) + np.array([weights.sum(), weights @ own])
         return total
 
-    found = collected(accumulate(_assigned(df, models, features), make, np.add))
+    found = collected(accumulate(_assigned(df, models, features, weight), make, np.add))
     some = {k: (moments[k].counts > 0).sum() > 1 and str(k) in found for k in keys}
     return {k: float(found[str(k)][1] / found[str(k)][0]) if some[k] else None for k in keys}

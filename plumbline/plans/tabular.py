@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.categories import COUNTRY_GROUPS, KEPT_COUNTRIES, group_category
 from plumbline.functions.encoding import assemble, encode_categories, fit_index, hashed_index, one_hot
 from plumbline.functions.text import INDICATOR_STOP_WORDS, leading_ngram
-from plumbline.models.clustering import KMeansSweep, fit_kmeans, kmeans_sweep
+from plumbline.models.clustering import KMeansSweep, fit_kmeans, kmeans_sweep, pin_points
 from plumbline.models.estimators import SEED, tree_rules
 from plumbline.models.metrics import (
     accuracy,
@@ -181,7 +181,7 @@ def segment_by_kmeans(
     """Clusters of numeric columns for several ``k``, with sizes, SSE and silhouette."""
     if ratio:
         df = ratio_column(df, *ratio)
-    frame = pin(assemble(df.select(*num_cols), num_cols).select("features"), "points")
+    frame = pin_points(assemble(df.select(*num_cols), num_cols).select("features"))
     return kmeans_sweep(frame, ks, seed=seed)
 
 

@@ -10,7 +10,7 @@ from plumbline.functions.encoding import assemble
 from plumbline.models import cluster_moments as cm
 from plumbline.models import clustering
 from plumbline.models.metrics import silhouette_score
-from plumbline.session import pin
+from plumbline.session import fits_at_once, pin
 
 
 def moments_of(x, cluster, n, shift):
@@ -70,3 +70,44 @@ def test_sparse_vectors(spark):
     rows = [(Vectors.sparse(4, [1], [3.0]),), (Vectors.dense([0.0, 3.0, 0.0, 0.0]),), (Vectors.sparse(4, [2], [9.0]),)]
     sweep = clustering.kmeans_sweep(pin(spark.createDataFrame(rows, ["features"])), [2])
     assert [(r["clusters"], r["sse"]) for r in sweep.scores.orderBy("k").collect()] == [(2, 0.0)]
+
+
+def test_rows_that_repeat_are_fitted_once_with_their_number(spark):
+    rows = spark.range(2400, numPartitions=3).select((F.col("id") % 6 * 10 + F.floor(F.col("id") % 60 / 30)).alias("a"), (F.col("id") % 4).alias("b"))
+    points = pin(assemble(rows, ["a", "b"]).select("features"))
+    sweep = clustering.kmeans_sweep(points, [2, 3])
+    for row in sweep.scores.collect():
+        model = sweep.models[row["k"]]
+        assert model.summary.predictions.count() == rows.distinct().count() < 2400 / clustering.REPEATS
+        scored = model.transform(points)
+        assert row["sse"] == pytest.approx(sum(s["n"] * s["d"] for s in spread_of(scored, model)), rel=1e-9)
+        assert row["silhouette"] == pytest.approx(silhouette_score(scored), abs=1e-9)
+        sizes = {r["prediction"]: r["count"] for r in sweep.sizes.where(F.col("k") == row["k"]).collect()}
+        assert sizes == {r["prediction"]: r["count"] for r in scored.groupBy("prediction").count().collect()}
+    assert clustering.fit_kmeans(points, 3).summary.trainingCost == pytest.approx(sweep.models[3].summary.trainingCost)
+
+
+def spread_of(scored, model):
+    found = scored.groupBy("features", "prediction").count().collect()
+    return [{"n": r["count"], "d": float(((r["features"].toArray() - model.clusterCenters()[r["prediction"]]) ** 2).sum())} for r in found]
+
+
+def test_different_points_and_weighted_fits_stay_as_they_are(spark, points):
+    assert clustering.distinct_points(points) == (points, None)
+    empty = spark.createDataFrame(points.limit(0).collect(), points.schema)
+    assert clustering.distinct_points(empty)[0].count() == 0
+    weighted = pin(spark.range(40).select(F.lit(2.0).alias("w"), (F.col("id") % 2).alias("a")))
+    model = clustering.fit_kmeans(assemble(weighted, ["a"]), 2, weightCol="w")
+    assert model.summary.predictions.count() == 40
+
+
+def test_points_are_pinned_in_files_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "POINTS_PER_FILE", 100)
+    points = assemble(spark.range(250, numPartitions=1), ["id"]).select("features")
+    files = clustering.pin_points(points).groupBy(F.input_file_name()).count()
+    assert sorted(r["count"] for r in files.collect()) == [50, 100, 100]
+
+
+def test_fits_side_by_side_are_bounded_by_what_they_cache(spark, points):
+    many = fits_at_once(points)
+    assert many > 1 and fits_at_once(points, 1000) == many and fits_at_once(points, 1 << 32) == 1

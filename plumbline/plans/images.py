@@ -20,6 +20,9 @@ from plumbline.sources.image_folders import drop_undecodable_images, label_image
 from plumbline.sources.pixel_lines import labeled_points, write_pixel_lines
 
 TRAINING = "is_training"
+# Every partition shuffles the statistics of every node it splits (at full size 9 MB a node before
+# compression, however few its images), so the number of partitions of a fit does not follow the input.
+FOREST_TASKS = 8
 
 
 @dataclass
@@ -93,5 +96,5 @@ def image_forest(
     # Every image is read and decoded once; both parts are filters over the written pixels, a byte each.
     pixels = pin(image_pixels(flagged, None, width, height, keep=[TRAINING], packed=True), "forest-pixels")
     points = labeled_points(pixels, keep=[TRAINING])
-    model = fit_forest_regression(points.where(TRAINING), **params)
+    model = fit_forest_regression(points.where(TRAINING).coalesce(FOREST_TASKS), **params)
     return ForestReport(model, model.transform(points.where(~F.col(TRAINING))), points.where(TRAINING))

@@ -1,3 +1,4 @@
+import hashlib
 import os
 import struct
 import zlib
@@ -172,3 +173,44 @@ def test_a_first_run_that_fails_or_is_empty(spark, tmp_path):
     path = str(tmp_path / "lines")
     assert pixel_lines.append_pixel_lines(lines_of(spark, [1]).where("false"), path, "none")
     assert pixel_lines.read_pixel_lines(spark, path).count() == 0
+
+
+def test_forest_fits_on_few_partitions(spark, folder, monkeypatch):
+    root, _ = folder
+    seen = []
+    fit = plans.fit_forest_regression
+    monkeypatch.setattr(plans, "FOREST_TASKS", 1)
+    monkeypatch.setattr(plans, "pin", lambda df, name: df.repartition(5))
+    monkeypatch.setattr(plans, "fit_forest_regression", lambda df, **params: seen.append(df.rdd.getNumPartitions()) or fit(df, **params))
+    plans.image_forest(spark, {f"{root}/dark": 0, f"{root}/bright": 1}, 60, 4, 4, numTrees=3)
+    assert seen == [1]
+
+
+def vectors_table(spark, path, n):
+    vector = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: (F.sin(i * (F.col("id") + 1))).cast("float"))
+    spark.range(n).select(F.col("id").alias("vec_id"), vector.alias("embedding"), (F.col("id") % 3).cast("int").alias("label")).write.parquet(f"{path}/embeddings.parquet")
+
+
+def test_resize_query_gives_each_whole_image(spark, tmp_path):
+    from plumbline.catalog import QUERIES
+    from plumbline.catalog import inputs as src
+
+    vectors_table(spark, str(tmp_path), 7)
+    rows = QUERIES["resize_images"].run(spark, str(tmp_path)).collect()
+    images = {r["vec_id"]: bytes(r["image"]["data"]) for r in src.vector_images(spark, str(tmp_path)).collect()}
+    assert {(r["height"], r["width"], r["channels"]) for r in rows} == {(200, 180, 3)}
+    for row in rows:
+        small = np.frombuffer(images[row["vec_id"]], np.uint8).reshape(8, 8, 3)
+        full = b"".join(small[(2 * y + 1) * 8 // 400, (2 * x + 1) * 8 // 360].tobytes() for y in range(200) for x in range(180))
+        assert row["data_sha256"] == hashlib.sha256(full).hexdigest()
+    assert len(rows) == 7
+
+
+def test_batch_score_writes_no_pixels(spark, tmp_path, monkeypatch):
+    from plumbline import session
+    from plumbline.catalog import QUERIES
+
+    vectors_table(spark, str(tmp_path), 25)
+    written = []
+    monkeypatch.setattr(session, "scratch_path", lambda *_: written.append(1) or str(tmp_path / "pins"))
+    assert QUERIES["image_batch_score"].run(spark, str(tmp_path)).first()["n"] == 5 and not written

@@ -36,12 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import id_and_text, shuffle_partitions
-from plumbline.llm.tokens import encoder, texts_of
+from plumbline.llm.common import busy, id_and_text, idle, shuffle_partitions
+from plumbline.llm.tokens import encoder, forget_encoder, texts_of
 from plumbline.session import pin, scratch_path
 
 FAN_IN = 16  # units that exchange documents in a round
-BATCH_BYTES = 1 << 22  # ids of a row of pieces
+BATCH_BYTES = 1 << 20  # ids of a row of pieces
+#: Row groups of some megabytes: a group is read as a whole, and by default a hundred rows are written before its size is looked at.
+FEW_ROWS = {f"parquet.{of}.size.row.check.{end}": rows for of in ("block", "page") for end, rows in (("min", 1), ("max", 4))}
+FEW_ROWS["parquet.block.size"] = 1 << 24
 LISTS = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "nth": pa.int64()}
 BATCHES = "part long, doc_id array<long>, piece array<int>, start array<long>, length array<long>, ids array<binary>, nth array<long>"
 PLANS = "unit long, bins long, bound long, spare long, plan binary"
@@ -151,6 +154,13 @@ def _cut_task(path: str, capacity: int, end_id: int):
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        busy()
+        try:
+            yield from cut(batches)
+        finally:
+            idle(forget_encoder)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part = encoder(path), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)  # pieces of each length so far
         rows: list[tuple] = []
@@ -181,7 +191,7 @@ def _cut(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     made, spark = docs.mapInArrow(_cut_task(path, capacity, end_id), BATCHES), docs.sparkSession
     name = f"plumbline_pieces_{uuid.uuid4().hex}"
     writer = made.write.bucketBy(shuffle_partitions(spark), "part").option("path", scratch_path(spark, "pieces")).option("compression", "zstd")
-    writer.saveAsTable(name)
+    writer.options(**FEW_ROWS).saveAsTable(name)
     return spark.table(name)
 
 
@@ -261,6 +271,8 @@ def pack_certified(
     units, plans, certificates = exchanged(counts, capacity)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        busy()
+        forget_encoder()
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {name: batch.column(i)[k] for i, name in enumerate(batch.schema.names)}

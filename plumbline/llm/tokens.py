@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from plumbline.llm.common import give_back
+
 #: The pre-tokenizer pattern of byte-level BPE files (fixed value of that public format).
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The same for files with word ends, for texts without any character that RARE finds.
@@ -104,6 +106,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def forget_encoder() -> None:
+    """Free the encoders of a worker."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        give_back()
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[str | None]:
     """The texts of a batch, one at a time, so that only one is a Python string at once."""
     for value in batch.column(batch.schema.get_field_index(column)):

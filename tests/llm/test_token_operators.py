@@ -2,17 +2,21 @@
 
 import math
 import random
+import time
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from helpers import DOCS, ODD_TEXTS, frame, prose, tokenizer, true_ids, with_clashes
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from plumbline.llm import packing, token_counts, token_files
+from plumbline.llm.common import busy, idle
 from plumbline.llm.queries import op4_token_files, op7_token_counts, op9_best_fit_packing, tokenizer_file
-from plumbline.llm.tokens import Encoder, encoder, vocabulary
+from plumbline.llm.tokens import Encoder, encoder, forget_encoder, vocabulary
 from plumbline.session import scratch_path
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
@@ -292,3 +296,25 @@ def test_counts_of_odd_texts_and_of_nothing(spark):
     empty = token_counts.with_suffix_sums(token_counts.length_histogram(frame(spark, []), tokenizer_file("byte_bpe_50k.json")))
     assert empty.count() == 0
     assert [tuple(r) for r in token_counts.truncated_totals(empty, [5]).collect()] == [(5, 0, 0, 0)]
+
+
+def test_pieces_of_long_texts_are_read_some_megabytes_at_a_time(spark):
+    """However many rows a task writes: row groups are read as a whole."""
+    text = " ".join(str(k % 10) for k in range(9_000_000))
+    pieces = packing._cut(spark.createDataFrame([(7, text)], "doc_id long, text string").repartition(1), tokenizer_file("byte_bpe_50k.json"), 1024, 2)
+    assert pieces.select(F.max(F.aggregate("length", F.lit(0).cast("long"), lambda s, n: s + n))).first()[0] * 4 <= packing.BATCH_BYTES + 4096 <= (1 << 20) + 4096
+    groups = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in pieces.inputFiles()]
+    sizes = [m.row_group(i).total_byte_size for m in groups for i in range(m.num_row_groups)]
+    assert len(sizes) > 1 and max(sizes) < 1 << 25
+
+
+def test_a_worker_without_tasks_forgets_its_encoder():
+    encoder(tokenizer_file("byte_bpe_50k.json"))
+    busy()
+    idle(forget_encoder, 0.1)
+    busy()  # another task
+    time.sleep(0.5)
+    assert encoder.cache_info().currsize
+    idle(forget_encoder, 0.1)
+    time.sleep(1)
+    assert not encoder.cache_info().currsize

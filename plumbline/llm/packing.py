@@ -42,9 +42,7 @@ from plumbline.session import pin, scratch_path
 
 FAN_IN = 16  # units that exchange documents in a round
 BATCH_BYTES = 1 << 20  # ids of a row of pieces
-#: Row groups of some megabytes: a group is read as a whole, and by default a hundred rows are written before its size is looked at.
-FEW_ROWS = {f"parquet.{of}.size.row.check.{end}": rows for of in ("block", "page") for end, rows in (("min", 1), ("max", 4))}
-FEW_ROWS["parquet.block.size"] = 1 << 24
+ROWS_READ = 16  # rows of pieces in a row group, which is read as a whole
 LISTS = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "nth": pa.int64()}
 BATCHES = "part long, doc_id array<long>, piece array<int>, start array<long>, length array<long>, ids array<binary>, nth array<long>"
 PLANS = "unit long, bins long, bound long, spare long, plan binary"
@@ -191,7 +189,7 @@ def _cut(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     made, spark = docs.mapInArrow(_cut_task(path, capacity, end_id), BATCHES), docs.sparkSession
     name = f"plumbline_pieces_{uuid.uuid4().hex}"
     writer = made.write.bucketBy(shuffle_partitions(spark), "part").option("path", scratch_path(spark, "pieces")).option("compression", "zstd")
-    writer.options(**FEW_ROWS).saveAsTable(name)
+    writer.option("parquet.block.row.count.limit", ROWS_READ).saveAsTable(name)
     return spark.table(name)
 
 

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from plumbline.models.cluster_moments import cluster_moments, mean_silhouettes
 from plumbline.models.estimators import SEED
-from plumbline.session import Report, fits_at_once, pin, run_together
+from plumbline.models.shared_kmeans import fit_together
+from plumbline.session import CACHED_AT_ONCE, Report, fits_at_once, pin, run_together
 
 WEIGHT = "_weight"
 REPEATS = 4  # rows a distinct point, from which fits take the distinct points
 POINTS_PER_FILE = 1 << 17  # a fit caches about 100 bytes a point and more for each partition it reads
+SHARED_PARAMS = {"initSteps", "maxIter", "tol"}  # with which all models may share scans
 POINT_BYTES = 96  # what a fit caches of a point, besides 8 bytes a value
 
 
@@ -85,7 +87,9 @@ def kmeans_sweep(
 ) -> KMeansSweep:
     """Fit k-means for each ``k`` over one stable frame (a scan or a pinned table).
 
-    Several fits run at once while the data is small, see ``fits_at_once``.  Sizes,
+    Several fits run at once while the data is small, see ``fits_at_once``.  Points of
+    which a fit would cache more than ``CACHED_AT_ONCE`` are scanned for all models
+    together, see ``shared_kmeans``.  Sizes,
     spread and silhouette of all models take two scans together.  Rows that repeat
     are held once, with their number, by fits and scans alike.
     """
@@ -94,8 +98,11 @@ def kmeans_sweep(
     points, weight = (df, None) if "weightCol" in params else distinct_points(df, features)
     first = points.select(features).first()
     cached = points.count() * (POINT_BYTES + 8 * len(first[0])) if first else 0
-    fit = lambda k: _fit(points, weight, k, features, seed, params)
-    models = dict(zip(ks, run_together(spark, fit, ks, parallelism or fits_at_once(points, cached))))
+    if cached > CACHED_AT_ONCE and params.keys() <= SHARED_PARAMS:
+        models = fit_together(points, weight, ks, features, seed, **params)
+    else:
+        fit = lambda k: _fit(points, weight, k, features, seed, params)
+        models = dict(zip(ks, run_together(spark, fit, ks, parallelism or fits_at_once(points, cached))))
     moments = cluster_moments(points, models, features, weight)
     shapes = mean_silhouettes(points, models, moments, features, weight)
     centers = {k: np.array(model.clusterCenters()) for k, model in models.items()}
